@@ -223,10 +223,145 @@ def inf_by_vehicle_sql() -> str:
             f"SELECT {', '.join(keys)}, {', '.join(aggs)} FROM d GROUP BY {', '.join(keys)}")
 
 
+# --- classification and ELR --------------------------------------------------------------
+FSA_SQL = ("CASE WHEN upper(trim(veh_fsa_tx)) IS NULL OR upper(trim(veh_fsa_tx)) = '' "
+           "THEN 'UNKNOWN' ELSE upper(trim(veh_fsa_tx)) END")
+TRX_PREM = [f"Prm_Ern_{c}_OnLvl_End_Am" for c in ["BI", "PD", "DC", "AB", "AP_COL", "AP_SP_CMP"]]
+TRX_XPO = [f"Xpo_Ern_{c}_Nb" for c in ["BI", "PD", "DC", "AB", "AP_COL", "AP_SP_CMP"]]
+TRX_CLM_NB = [f"clm_chap_{c}_nb" for c in ["tpl", "bi", "dc", "pd", "ab", "col", "cmp"]]
+TRX_CLM_AM = ["clm_chap_tpl_cap500k_am", "clm_chap_bi_cap500k_am", "clm_chap_pd_cap500k_am",
+              "clm_chap_dc_am", "clm_chap_ab_cap500k_am", "clm_chap_col_am", "clm_chap_cmp_am"]
+
+
+def trx_classification_sql() -> str:
+    notnull = " AND ".join(f"{c} IS NOT NULL" for c in TRX_PREM)
+    meas = TRX_PREM + TRX_XPO + TRX_CLM_NB + TRX_CLM_AM
+    keys = "pol_jurisdiction_cd, pol_uwcompany_cd, pol_acc_yr_dt, fsa_tx"
+    return (f"WITH b AS ({book_sql('current')}),\n"
+            f" f AS (SELECT * REPLACE ({COMPANY_SQL} AS pol_uwcompany_cd), {FSA_SQL} AS fsa_tx FROM b "
+            f"WHERE dri_type_cd <> 'OccasionalPrincipal' AND {notnull})\n"
+            f"SELECT {keys}, {', '.join(f'SUM({m}) AS {m}' for m in meas)} FROM f GROUP BY {keys}")
+
+
+def inforce_classification_sql() -> str:
+    xpo = [("Xpo_BI", "cov_bi_in"), ("Xpo_DC", "cov_dc_in"), ("Xpo_PD", "cov_pd_in"),
+           ("Xpo_AB", "cov_ab_in"), ("Xpo_AP_COL", "cov_ap_col_in"),
+           ("Xpo_AP_SP_CMP", "cov_ap_sp_cmp_in")]
+    prm = ["Prm_Trm_BI_Uncap_Am", "Prm_Trm_DC_Uncap_Am", "Prm_Trm_PD_Uncap_Am",
+           "Prm_Trm_AB_Uncap_Am", "Prm_Trm_AP_COL_Uncap_Am", "Prm_Trm_AP_SP_CMP_Uncap_Am"]
+    aggs = [f"CAST(SUM({i}) AS BIGINT) AS {x}" for x, i in xpo] + [f"SUM({p}) AS {p}" for p in prm]
+    return (f"WITH b AS ({book_sql('current')}),\n"
+            f" f AS (SELECT * REPLACE ({COMPANY_SQL} AS pol_uwcompany_cd), {FSA_SQL} AS fsa_tx, "
+            f"COALESCE(cov_ap_in, 0) + COALESCE(cov_col_in, 0) AS cov_ap_col_in, "
+            f"COALESCE(cov_ap_in, 0) + COALESCE(cov_spe_in, 0) + COALESCE(cov_cmp_in, 0) AS cov_ap_sp_cmp_in "
+            f"FROM b WHERE dri_type_cd <> 'OccasionalPrincipal')\n"
+            f"SELECT pol_uwcompany_cd, fsa_tx, {', '.join(aggs)} FROM f GROUP BY pol_uwcompany_cd, fsa_tx")
+
+
+ELR_COV = [("BI", "BI", "bi"), ("PD", "PD", "pd"), ("DC", "DC", "dc"), ("AB", "AB", "ab"),
+           ("COL", "AP_COL", "col"), ("CMP", "AP_SP_CMP", "cmp"), ("TOT", "Dri_Tot", "total")]
+
+
+def _elr_cols() -> str:
+    out = []
+    for name, cov, lc in ELR_COV:
+        out.append(f"Prm_Trm_{cov}_Uncap_Am AS Prm_OnLvl_{cov}_Uncap_Am")
+        out.append(f"CASE WHEN Prm_Trm_{cov}_Uncap_Am IS NULL THEN 0e0 "
+                   f"ELSE lc_losscost_{lc}_pred_am END AS LC_{name}")
+    return ", ".join(out)
+
+
+def _lr(name, cov) -> str:
+    p = f"Prm_OnLvl_{cov}_Uncap_Am"
+    return f"CASE WHEN {p} IS NULL OR {p} = 0 THEN 0e0 ELSE LC_{name} / {p} END AS LR_{name}"
+
+
+def elr_exhibit_sql() -> str:
+    sums = [f"SUM(Prm_OnLvl_{c}_Uncap_Am) AS Prm_OnLvl_{c}_Uncap_Am" for _, c, _ in ELR_COV] + \
+        [f"SUM(LC_{n}) AS LC_{n}" for n, _, _ in ELR_COV]
+    return (f"WITH b AS ({book_sql('current')}),\n"
+            f" f AS (SELECT {COMPANY_SQL} AS pol_uwcompany_cd, {FSA_SQL} AS fsa_tx, {_elr_cols()} "
+            f"FROM b WHERE dri_type_cd <> 'OccasionalPrincipal'),\n"
+            f" g AS (SELECT pol_uwcompany_cd, fsa_tx, {', '.join(sums)} FROM f "
+            f"GROUP BY pol_uwcompany_cd, fsa_tx)\n"
+            f"SELECT *, {', '.join(_lr(n, c) for n, c, _ in ELR_COV)} FROM g")
+
+
+LONG_VARS = ["dri_type_cd", "dri_gender_cd", "dri_yrs_licensed_au_nb", "rat_km_annual_nb",
+             "rat_km_work_nb", "rat_km_business_nb", "number_veh_in_family", "number_au_mh",
+             "veh_dri_onp_nb", "veh_age_nb", "veh_vicc_price_am", "veh_rg_ab_no", "veh_rg_dc_no",
+             "veh_rg_col_no", "veh_rg_cmp_no", "cov_col_ded_am", "clt_p_holder_credit_score_no",
+             "exp_minor_03yrs_nb", "ter_onlvl_ibc_no", "veh_fsa_tx",
+             "dri_type_cd_x_number_au_mh_x_veh_dri_onp_nb", "dri_type_cd_x_rat_km_work_nb",
+             "dri_type_cd_x_rat_km_business_nb", "dri_type_cd_x_rat_km_annual_nb",
+             "dri_yrs_licensed_au_nb_x_dri_gender_cd"]
+RET_VARS = ["dri_gender_cd", "veh_age_nb", "ter_onlvl_ibc_no"]
+CLO_VARS = [v for v in LONG_VARS if v != "cov_col_ded_am"]   # the closing view has no deductible
+FCS = [("closing", "rat_fulldemand_closing_fc"), ("ft_retention", "rat_fulldemand_ft_retention_fc"),
+       ("mt_retention", "rat_fulldemand_mt_retention_fc")]
+
+
+def elr_long_sql() -> str:
+    from ratecell.sources.book import closing_columns
+    inf_src = (f"SELECT * REPLACE ({COMPANY_SQL} AS pol_uwcompany_cd, {FSA_SQL} AS veh_fsa_tx), "
+               f"{_elr_cols()} FROM b WHERE dri_type_cd <> 'OccasionalPrincipal'")
+    clo_cols = [n for n, _ in closing_columns()] + ["number_au_mh", "number_veh_in_family"]
+    clo_src = (f"SELECT * REPLACE ({COMPANY_SQL} AS pol_uwcompany_cd, {FSA_SQL} AS veh_fsa_tx), "
+               "CASE WHEN veh_product_cd = 'motor_home' THEN clt_veh_mh_nb ELSE clt_veh_au_nb END "
+               "AS number_au_mh, COALESCE(clt_veh_au_nb, 0) + COALESCE(clt_veh_mh_nb, 0) "
+               "AS number_veh_in_family FROM c0 WHERE veh_product_cd = 'ppa' AND pol_commercial_in = 0")
+    sums = [f"SUM(Prm_OnLvl_{c}_Uncap_Am) AS Prm_OnLvl_{c}_Uncap_Am" for _, c, _ in ELR_COV] + \
+        [f"SUM(LC_{n}) AS LC_{n}" for n, _, _ in ELR_COV] + ["COUNT(*) AS vehicles"]
+    tot = "Prm_Trm_Dri_Tot_Uncap_Am"
+    for s, fc in FCS:
+        sums += [f"AVG({fc}) AS pred_{s}",
+                 f"SUM(COALESCE({fc}, 0) * COALESCE({tot}, 0)) AS n_{s}",
+                 f"SUM(CASE WHEN {fc} IS NULL THEN 0 ELSE COALESCE({tot}, 0) END) AS d_{s}"]
+    main = " UNION ALL ".join(
+        f"SELECT pol_uwcompany_cd, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
+        f"{', '.join(sums)} FROM inf GROUP BY pol_uwcompany_cd, CAST({v} AS VARCHAR)" for v in LONG_VARS)
+    clo = " UNION ALL ".join(
+        f"SELECT pol_uwcompany_cd, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
+        "COUNT(DISTINCT pol_quote_no) AS quotes, COUNT(DISTINCT CASE WHEN COALESCE(clo_bound_in, 0) = 1 "
+        f"THEN pol_quote_no END) AS bound FROM clo GROUP BY pol_uwcompany_cd, CAST({v} AS VARCHAR)"
+        for v in CLO_VARS)
+    ret = " UNION ALL ".join(
+        f"SELECT pol_uwcompany_cd, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
+        "COUNT(DISTINCT pol_policy_no) AS policies_exposed, COUNT(DISTINCT CASE WHEN "
+        "COALESCE(retained_in, 0) = 1 THEN pol_policy_no END) AS policies_retained FROM ret "
+        f"GROUP BY pol_uwcompany_cd, CAST({v} AS VARCHAR)" for v in RET_VARS)
+    wtd = ", ".join(f"CASE WHEN d_{s} IS NULL OR d_{s} = 0 THEN NULL ELSE n_{s} / d_{s} END "
+                    f"AS pred_{s}_prem_wtd" for s, _ in FCS)
+    out_cols = (["variable_name", "level_value", "pol_uwcompany_cd", "vehicles"]
+                + [f"Prm_OnLvl_{c}_Uncap_Am" for _, c, _ in ELR_COV] + [f"LC_{n}" for n, _, _ in ELR_COV]
+                + [_lr(n, c) for n, c, _ in ELR_COV]
+                + [x for s, _ in FCS for x in (f"pred_{s}", f"pred_{s}_prem_wtd")]
+                + ["quotes", "bound",
+                   "CASE WHEN quotes IS NULL OR quotes = 0 THEN NULL ELSE bound / quotes END AS closing_ratio",
+                   "policies_exposed", "policies_retained",
+                   "CASE WHEN policies_exposed IS NULL OR policies_exposed = 0 THEN NULL "
+                   "ELSE policies_retained / policies_exposed END AS retention_actual"])
+    cell = "m.pol_uwcompany_cd = {a}.pol_uwcompany_cd AND m.variable_name = {a}.variable_name " \
+           "AND m.level_value = {a}.level_value"
+    return (f"WITH b AS ({book_sql('current')}),\n"
+            f" inf AS ({prep_sql(inf_src, _book_cols(), fsa=None)}),\n"
+            f" c0 AS ({closing_sql()}),\n"
+            f" clo AS ({prep_sql(clo_src, clo_cols, fsa=None)}),\n"
+            f" ret AS (SELECT *, 'TDHA' AS pol_uwcompany_cd FROM ({retention_sql()})),\n"
+            f" m0 AS ({main}),\n m AS (SELECT *, {wtd} FROM m0),\n cq AS ({clo}),\n rq AS ({ret}),\n"
+            f" j AS (SELECT m.*, cq.quotes, cq.bound, rq.policies_exposed, rq.policies_retained FROM m "
+            f"LEFT JOIN cq ON {cell.format(a='cq')} LEFT JOIN rq ON {cell.format(a='rq')})\n"
+            f"SELECT {', '.join(out_cols)} FROM j")
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per registered query name (queries without SQL get a rows-only check)."""
     return {
         "dislocation_trx_vehicle": trx_by_vehicle_sql(),
         "dislocation_trx_driver": trx_by_driver_sql(),
         "dislocation_inf_vehicle": inf_by_vehicle_sql(),
+        "trx_classification": trx_classification_sql(),
+        "inforce_classification": inforce_classification_sql(),
+        "elr": elr_exhibit_sql(),
+        "elr_long": elr_long_sql(),
     }

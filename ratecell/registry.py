@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecell.plans import classification as C
 from ratecell.plans import dislocation as D
+from ratecell.plans import elr as E
 from ratecell.sources import book as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +35,29 @@ def q_dislocation_inf_vehicle(spark, sf):
     return D.inf_by_vehicle(*_sides(spark, sf))
 
 
+def q_trx_classification(spark, sf):
+    return C.trx_classification(B.book(spark, sf))
+
+
+def q_inforce_classification(spark, sf):
+    return C.inforce_classification(B.book(spark, sf))
+
+
+def q_elr(spark, sf):
+    return E.elr_exhibit(B.book(spark, sf))
+
+
+def q_elr_long(spark, sf):
+    return E.elr_long(B.book(spark, sf), closing=B.closing(spark, sf),
+                      retention=B.retention(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "dislocation_trx_vehicle": q_dislocation_trx_vehicle,
     "dislocation_trx_driver": q_dislocation_trx_driver,
     "dislocation_inf_vehicle": q_dislocation_inf_vehicle,
+    "trx_classification": q_trx_classification,
+    "inforce_classification": q_inforce_classification,
+    "elr": q_elr,
+    "elr_long": q_elr_long,
 }

@@ -189,7 +189,8 @@ INF_VEH = ["pol_uwcompany_cd", "pol_insurer_no", "clt_account_no", "pol_policy_n
 INF_COVS = ["BI", "PD", "DC", "AB", "UA", "AP_COL"]
 
 
-def inf_by_vehicle_sql() -> str:
+def _inf_ctes() -> str:
+    """cur, prop, j (side join), w (vehicle window totals), pr (one principal row per vehicle)."""
     on = " AND ".join(f"c.{k} = p.{k}" for k in INF_KEYS)
     prm = [n for n in _book_cols() if n.startswith("Prm_Trm_") and n.endswith("Uncap_Am")]
     prop_cols = ", ".join(f"p.{n} AS {n}_Prop" for n in prm)
@@ -201,8 +202,23 @@ def inf_by_vehicle_sql() -> str:
         tot.append(f"SUM(COALESCE(Prm_Trm_AP_SP_CMP_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_AP_SP_COMP_Uncap_Am{sfx}")
         tot.append(f"SUM(COALESCE(Prm_Trm_UI_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_UI_Uncap_Am{sfx}")
         tot.append(f"SUM(COALESCE(Prm_Trm_Dri_Base_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_Base_Uncap_Am{sfx}")
-    veh_cols = [t.rsplit(" AS ", 1)[1] for t in tot]
-    cols = _book_cols() + [f"{n}_Prop" for n in prm] + veh_cols + ["rc", "Rate_Change_Level"]
+    return (f"cur AS ({_mapped('current')}),\n prop AS ({_mapped('proposed')}),\n"
+            f" j AS (SELECT c.*, {prop_cols} FROM cur c LEFT JOIN prop p ON {on}),\n"
+            f" w AS (SELECT *, {', '.join(tot)} FROM j),\n"
+            f" pr AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "
+            f"{', '.join(INF_VEH)} ORDER BY dri_id_no) AS rn FROM w WHERE dri_type_cd = 'Principal') "
+            f"WHERE rn = 1)")
+
+
+def _inf_cols() -> list[str]:
+    prm = [n for n in _book_cols() if n.startswith("Prm_Trm_") and n.endswith("Uncap_Am")]
+    veh = [f"Prm_Trm_Veh_{c}_Uncap_Am{sfx}" for sfx in ["", "_Prop"]
+           for c in INF_COVS + ["AP_SP_COMP", "UI", "Base"]]
+    return _book_cols() + [f"{n}_Prop" for n in prm] + veh
+
+
+def inf_by_vehicle_sql() -> str:
+    cols = _inf_cols() + ["rc", "Rate_Change_Level"]
     sums = ["BI", "PD", "DC", "AB", "UA", "AP_COL", "AP_SP_COMP", "UI", "Base"]
     keys = ["Rate_Change_Level", "pol_uwcompany_cd", "pol_business_cd"] + C_VARS
     aggs = (["COUNT(*) AS Xpo_Tot",
@@ -211,12 +227,8 @@ def inf_by_vehicle_sql() -> str:
             + [f"SUM(COALESCE(Prm_Trm_Veh_{c}_Uncap_Am, 0)) AS Prm_Trm_Veh_{c}_Uncap_Am_Sum" for c in sums]
             + [f"SUM(COALESCE(Prm_Trm_Veh_{c}_Uncap_Am_Prop, 0)) AS Prm_Trm_Veh_{c}_Uncap_Am_Prop_Sum"
                for c in sums])
-    return (f"WITH cur AS ({_mapped('current')}),\n prop AS ({_mapped('proposed')}),\n"
-            f" j AS (SELECT c.*, {prop_cols} FROM cur c LEFT JOIN prop p ON {on}),\n"
-            f" w AS (SELECT *, {', '.join(tot)} FROM j),\n"
-            f" pr AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(INF_VEH)} "
-            f"ORDER BY dri_id_no) AS rn FROM w WHERE dri_type_cd = 'Principal') WHERE rn = 1),\n"
-            f" b AS (SELECT * EXCLUDE (rn), {_rc_level('rc')} AS Rate_Change_Level FROM "
+    return (f"WITH {_inf_ctes()},\n"
+            f" b AS (SELECT *, {_rc_level('rc')} AS Rate_Change_Level FROM "
             f"(SELECT *, CASE WHEN Prm_Trm_Veh_Base_Uncap_Am = 0 THEN NULL "
             f"ELSE Prm_Trm_Veh_Base_Uncap_Am_Prop / Prm_Trm_Veh_Base_Uncap_Am - 1 END AS rc FROM pr)),\n"
             f" d AS ({prep_sql('SELECT * FROM b', cols)})\n"
@@ -301,7 +313,7 @@ FCS = [("closing", "rat_fulldemand_closing_fc"), ("ft_retention", "rat_fulldeman
        ("mt_retention", "rat_fulldemand_mt_retention_fc")]
 
 
-def elr_long_sql() -> str:
+def elr_long_sql(elr_block_only: bool = False) -> str:
     from ratecell.sources.book import closing_columns
     inf_src = (f"SELECT * REPLACE ({COMPANY_SQL} AS pol_uwcompany_cd, {FSA_SQL} AS veh_fsa_tx), "
                f"{_elr_cols()} FROM b WHERE dri_type_cd <> 'OccasionalPrincipal'")
@@ -317,6 +329,8 @@ def elr_long_sql() -> str:
         sums += [f"AVG({fc}) AS pred_{s}",
                  f"SUM(COALESCE({fc}, 0) * COALESCE({tot}, 0)) AS n_{s}",
                  f"SUM(CASE WHEN {fc} IS NULL THEN 0 ELSE COALESCE({tot}, 0) END) AS d_{s}"]
+    if elr_block_only:
+        sums = sums[:15]
     main = " UNION ALL ".join(
         f"SELECT pol_uwcompany_cd, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
         f"{', '.join(sums)} FROM inf GROUP BY pol_uwcompany_cd, CAST({v} AS VARCHAR)" for v in LONG_VARS)
@@ -341,6 +355,11 @@ def elr_long_sql() -> str:
                    "policies_exposed", "policies_retained",
                    "CASE WHEN policies_exposed IS NULL OR policies_exposed = 0 THEN NULL "
                    "ELSE policies_retained / policies_exposed END AS retention_actual"])
+    if elr_block_only:
+        lrs = ", ".join(_lr(n, c) for n, c, _ in ELR_COV)
+        return (f"WITH b AS ({book_sql('current')}),\n"
+                f" inf AS ({prep_sql(inf_src, _book_cols(), fsa=None)})\n"
+                f"SELECT *, {lrs} FROM ({main})")
     cell = "m.pol_uwcompany_cd = {a}.pol_uwcompany_cd AND m.variable_name = {a}.variable_name " \
            "AND m.level_value = {a}.level_value"
     return (f"WITH b AS ({book_sql('current')}),\n"
@@ -364,4 +383,4 @@ def oracle_sql() -> dict[str, str]:
         "inforce_classification": inforce_classification_sql(),
         "elr": elr_exhibit_sql(),
         "elr_long": elr_long_sql(),
-    }
+    } | __import__("ratecell.oracle_ops", fromlist=["oracle_sql"]).oracle_sql()

@@ -144,6 +144,22 @@ _COMMON = [
     ("clm_chap_col_am", "k_claim * 0.125e0"),
     ("clm_chap_cmp_am", "k_claim * 0.0625e0"),
     ("clm_chap_ui_am", "k_claim * 0.0625e0"),
+    # vehicle code (CLEAR lookup key)
+    ("veh_vicc_cd", "CAST(l_partkey AS STRING)"),
+    # scored TRX before earning: AP portions, raw COL/CMP, endorsements, earned exposures
+    ("Coll_Portion_of_AP", "CASE WHEN p_size % 9 = 0 THEN k_base * 0.0625e0 ELSE 0e0 END"),
+    ("Comp_Portion_of_AP", "CASE WHEN p_size % 9 = 0 THEN k_base * 0.03125e0 ELSE 0e0 END"),
+    ("Prm_Trm_COL_Uncap_Am", "k_base * 0.125e0"),
+    ("Prm_Trm_CMP_Uncap_Am", "k_base * 0.0625e0"),
+] + [(f"Prm_Trm_End_{e}_Uncap_Am",
+      f"CASE WHEN (l_linenumber + {i}) % 3 = 0 THEN NULL ELSE k_base * 0.015625e0 END")
+     for i, e in enumerate(["02", "06", "16", "20", "23B", "27", "27S", "38", "43", "43R", "43S",
+                            "60S", "70"])] + [
+    (f"xpo_ern_chap_{c}_nb", "k_xpo") for c in ["tpl", "bi", "pd", "dc", "ab", "um", "ui"]] + [
+    ("xpo_ern_chap_col_nb", "CASE WHEN p_size % 2 = 0 THEN k_xpo ELSE 0e0 END"),
+    ("xpo_ern_chap_cmp_nb", "CASE WHEN p_size % 3 = 0 THEN k_xpo ELSE 0e0 END"),
+    ("xpo_ern_chap_ap_nb", "CASE WHEN p_size % 9 = 0 THEN k_xpo ELSE 0e0 END"),
+    ("xpo_ern_chap_spe_nb", "CASE WHEN p_size % 5 = 0 THEN k_xpo ELSE 0e0 END"),
 ]
 
 # FIXED (book design): coverage shares of the line premium, in sixteenths.
@@ -261,3 +277,42 @@ def closing_sql() -> str:
 
 def retention_sql() -> str:
     return _derived_sql(_RETENTION)
+
+
+# --- derived lookup tables ----------------------------------------------------------------
+# Loss costs keyed like the scored loss-cost master: one row per version key x
+# jurisdiction x product (max over the book rows sharing the key).
+LOSS_COST_SOURCE = [("bi", "bi"), ("pd", "pd"), ("dc", "dc"), ("ab", "ab"), ("col", "coll"),
+                    ("cmp", "comp"), ("total", "total")]
+
+
+def loss_cost_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    b = book(spark, sf_dir)
+    return (b.groupBy("vehicle_driver_version_key", "pol_jurisdiction_cd", "veh_product_cd",
+                      "pol_region_cd")
+            .agg(*[F.max(f"lc_losscost_{a}_pred_am").alias(f"lc_losscost_{s}_pred_rebase")
+                   for a, s in LOSS_COST_SOURCE]))
+
+
+def loss_cost_sql() -> str:
+    aggs = ", ".join(f"MAX(lc_losscost_{a}_pred_am) AS lc_losscost_{s}_pred_rebase"
+                     for a, s in LOSS_COST_SOURCE)
+    keys = "vehicle_driver_version_key, pol_jurisdiction_cd, veh_product_cd, pol_region_cd"
+    return f"SELECT {keys}, {aggs} FROM ({book_sql('current')}) GROUP BY {keys}"
+
+
+# CLEAR vehicle rate groups by vehicle code, one table per year (from ``part``).
+def clear_columns(year: int) -> list[tuple[str, str]]:
+    return [("veh_vicc_cd", "CAST(p_partkey AS STRING)"),
+            ("veh_rg_col_no", f"(p_size + {year}) % 11 + 1"),
+            ("veh_rg_cmp_no", f"(p_size * 3 + {year}) % 8 + 1")]
+
+
+def clear_table(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    return read_table(spark, sf_dir, "part").selectExpr(
+        *[f"{e} AS {n}" for n, e in clear_columns(year)])
+
+
+def clear_sql(year: int) -> str:
+    return "SELECT " + ", ".join(f"{e} AS {n}" for n, e in clear_columns(year)) + " FROM part"

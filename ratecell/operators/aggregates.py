@@ -39,9 +39,27 @@ def distinct_and_flagged(key: str, flag: str) -> tuple[Column, Column]:
             F.count_distinct(F.when(F.coalesce(F.col(flag), F.lit(0)) == 1, F.col(key))))
 
 
-def explode_levels(variables: Sequence[str], name: str = "variable_name",
-                   level: str = "level_value") -> Column:
-    """One (variable, level-as-text) struct per variable, exploded: N variables
-    aggregate in ONE pass (one scan, one shuffle) instead of N aggregates + unions."""
-    return F.explode(F.array(*[F.struct(F.lit(v).alias(name), F.col(v).cast("string").alias(level))
-                               for v in variables])).alias("_lv")
+def explode_levels(variables: Sequence[str], index: str = "_var", level: str = "level_value") -> list[Column]:
+    """``posexplode`` of the variables' values as text: one (variable index, level)
+    row per variable. N variables aggregate in ONE pass (one scan, one shuffle)
+    instead of N aggregates + unions. The integer index keeps the grouping key
+    narrow; ``variable_names`` turns it back into the name after aggregation."""
+    return [F.posexplode(F.array(*[F.col(v).cast("string") for v in variables])).alias(index, level)]
+
+
+def variable_names(variables: Sequence[str], index: str = "_var") -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in variables]), F.col(index) + 1)
+
+
+def distinct_flagged_by(df: DataFrame, keys: Sequence[str], key: str, flag: str,
+                        total: str, flagged: str) -> DataFrame:
+    """Exact ``count(distinct key)`` and ``count(distinct key where flag = 1)`` per
+    ``keys``, as two plain aggregates: first one row per (keys, key) with the
+    max flag (partial aggregation collapses repeats inside every task), then a
+    count and a sum. Same result as two ``count_distinct``s without the Expand
+    that doubles every row before the shuffle."""
+    per_key = (df.groupBy(*keys, key)
+               .agg(F.max(F.when(F.coalesce(F.col(flag), F.lit(0)) == 1, 1).otherwise(0)).alias("_f"))
+               .filter(F.col(key).isNotNull()))
+    return per_key.groupBy(*keys).agg(F.count(F.lit(1)).alias(total),
+                                      F.sum("_f").cast("long").alias(flagged))

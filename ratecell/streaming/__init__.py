@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The source notebooks have no stream source or sink, watermark, trigger or
+stateful operator: every exhibit is a batch job over snapshot tables, so
+nothing is built here.
+"""

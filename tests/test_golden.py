@@ -192,3 +192,16 @@ def test_null_join_keys_do_not_match(spark):
     b = spark.createDataFrame([(None, 10.0), ("k", 20.0)], "k string, w double")
     out = {r["v"]: r["w"] for r in join_sides(a, b, ["k"]).collect()}
     assert out == {1.0: None, 2.0: 20.0}
+
+
+def test_dislocation_summary_matches_single_exhibits(spark):
+    from conftest import SF0001
+    from ratecell.plans import dislocation as D
+    from ratecell.sources import book as B
+    cur, prop = B.book(spark, SF0001), B.book(spark, SF0001, "proposed")
+    with pytest.raises(ValueError, match="row counts differ"):
+        D.dislocation_summary(cur, prop, cur, prop)
+    out = D.dislocation_summary(cur, prop, cur, prop, check_balance=False)
+    assert out["TRX_by_Vehicle"].exceptAll(D.trx_by_vehicle(cur, prop)).count() == 0
+    assert out["TRX_by_Driver"].count() == D.trx_by_driver(cur, prop).count()
+    assert out["Inf_by_Vehicle"].exceptAll(D.inf_by_vehicle(cur, prop)).count() == 0

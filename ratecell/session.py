@@ -22,13 +22,23 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# The exhibits' projections (bands, prep, composites) generate large Java
+# methods under whole-stage codegen. HotSpot refuses to JIT-compile methods
+# over 8,000 bytes of bytecode and runs them in its interpreter, which made the
+# closing-view prep 4x slower; letting it compile them keeps codegen fast
+# (measured at sf0.1: 20 s -> 5 s). On a cluster set the same flag in
+# spark.executor.extraJavaOptions at launch.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ratecell") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "16g")
+               .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
+               .config("spark.executor.extraJavaOptions", JVM_OPTIONS))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

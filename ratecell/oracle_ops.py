@@ -446,6 +446,11 @@ def optional_source():
             f"FROM ({CLO_PREP}) GROUP BY pol_uwcompany_cd)")
 
 
+def config_projection():
+    return ("SELECT pol_jurisdiction_cd, veh_product_cd, COUNT(*) AS rows, "
+            f"SUM(Prm_Ern_BI_OnLvl_End_Am) AS prm_bi FROM {BC} GROUP BY pol_jurisdiction_cd, veh_product_cd")
+
+
 def oracle_sql() -> dict[str, str]:
     out = {n: f() for n, f in [
         ("extract_trx", extract_trx), ("extract_inforce", extract_inforce),
@@ -471,5 +476,6 @@ def oracle_sql() -> dict[str, str]:
         ("vehicle_window_totals", principal_summary), ("principal_dedup", principal_summary),
         ("first_per_group", first_per_group), ("row_index", row_index),
         ("union_variables", union_variables), ("resolve_table", row_profile),
-        ("optional_source", optional_source), ("write_read_exhibit", O.trx_by_vehicle_sql)]}
+        ("optional_source", optional_source), ("write_read_exhibit", O.trx_by_vehicle_sql),
+        ("config_projection", config_projection)]}
     return out

@@ -470,6 +470,20 @@ def q_optional_source(spark, sf):
     return g
 
 
+def q_config_projection(spark, sf):
+    """Helper CSV lists the extract's columns (S6, S7); the projection is registered
+    as a view (S8), checked to exist and be non-empty (S9), then queried in SQL."""
+    helper = f"{ensure_checkpoint_dir(spark)}/helpers/trx_extract_helper.csv"
+    (spark.createDataFrame([(c,) for c in EXTRACT_COLS], "var_name string").coalesce(1)
+     .write.mode("overwrite").option("header", True).csv(helper))
+    names = EX.config_columns(EX.read_helper(spark, helper))
+    EX.register(B.book(spark, sf).select(*names), "trx_extract_view")
+    CAT.require_tables(spark, {"extract": "trx_extract_view"}, non_empty=True)
+    return spark.sql("SELECT pol_jurisdiction_cd, veh_product_cd, COUNT(*) AS rows, "
+                     "SUM(Prm_Ern_BI_OnLvl_End_Am) AS prm_bi FROM trx_extract_view "
+                     "GROUP BY pol_jurisdiction_cd, veh_product_cd")
+
+
 def q_write_read_exhibit(spark, sf):
     ex = D.trx_by_vehicle(*_sides(spark, sf))
     folder = f"{ensure_checkpoint_dir(spark)}/exhibits"
@@ -539,4 +553,5 @@ QUERIES: dict[str, Query] = {
     "resolve_table": q_resolve_table,
     "optional_source": q_optional_source,
     "write_read_exhibit": q_write_read_exhibit,
+    "config_projection": q_config_projection,
 }

@@ -38,7 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g")
                .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
-               .config("spark.executor.extraJavaOptions", JVM_OPTIONS))
+               .config("spark.executor.extraJavaOptions", JVM_OPTIONS)
+               .config("spark.sql.warehouse.dir",
+                       tempfile.mkdtemp(prefix="ratecell-wh-", dir=os.environ.get("TMPDIR", "/tmp"))))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -3,8 +3,10 @@
 Scale notes
 -----------
 * Side joins (current ⟕ proposed) are big-to-big on unique keys: both sides
-  hash-partition on the full key list, so no key holds more than its own rows
-  and nothing fans out. Tables written with ``bucketBy`` on the policy key
+  hash-partition on the full key list, so no key holds more than its own rows.
+  The proposed side is summed to one row per key first, so even a repeated key
+  cannot fan out into all of its pairs; AQE's skew join splits a hot key on the
+  current side. Tables written with ``bucketBy`` on the join keys
   (``sources.sinks.save_table``) make this join shuffle-free.
 * Lookup joins (loss costs, CLEAR groups, vehicle bands) are many-to-one; the
   planner broadcasts the right side only when its measured size is under
@@ -33,10 +35,20 @@ MAX_CONFIG_ROWS = 10_000
 
 
 def join_sides(current: DataFrame, proposed: DataFrame, keys: Sequence[str],
-               how: str = "left") -> DataFrame:
-    """``current ⟕ proposed`` on ``keys``; unmatched proposed values stay null."""
+               how: str = "left", one_per_key: bool = True) -> DataFrame:
+    """``current ⟕ proposed`` on ``keys``; unmatched proposed values stay null.
+
+    With ``one_per_key`` the proposed side is first summed to one row per key.
+    For unique keys (the contract of both scored tables) that changes nothing;
+    if a key repeats, the join can no longer emit every current x proposed pair
+    of that key - its output stays bounded by the current side. The aggregate's
+    output is already hash-partitioned on the keys, so the join adds no exchange.
+    """
     require_columns(current, keys, "current side")
     require_columns(proposed, keys, "proposed side")
+    if one_per_key:
+        values = [c for c in proposed.columns if c not in set(keys)]
+        proposed = proposed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
     return current.join(proposed, on=list(keys), how=how)
 
 

@@ -418,7 +418,16 @@ def _principal_summary(v):
 
 
 def q_vehicle_window_totals(spark, sf):
-    return _principal_summary(D.inf_window_principal(D.inf_joined(*_sides(spark, sf))))
+    """Vehicle totals kept on every driver row (aggregate joined back, no window over
+    the vehicle), then one principal row per vehicle."""
+    j = D.inf_joined(*_sides(spark, sf))
+    totals = {k: v for k, v in D._vehicle_totals(j).items() if "_Base_" in k}
+    rows = WN.with_group_totals(j, spec.INF_VEHICLE, totals, method="join")
+    one = WN.first_per_group(rows.select(*spec.INF_VEHICLE, "dri_id_no", "dri_type_cd", "veh_age_nb",
+                                         *totals),
+                             spec.INF_VEHICLE, ["dri_id_no"],
+                             where=F.col("dri_type_cd") == F.lit(spec.PRINCIPAL))
+    return _principal_summary(one)
 
 
 def q_principal_dedup(spark, sf):

@@ -205,3 +205,13 @@ def test_dislocation_summary_matches_single_exhibits(spark):
     assert out["TRX_by_Vehicle"].exceptAll(D.trx_by_vehicle(cur, prop)).count() == 0
     assert out["TRX_by_Driver"].count() == D.trx_by_driver(cur, prop).count()
     assert out["Inf_by_Vehicle"].exceptAll(D.inf_by_vehicle(cur, prop)).count() == 0
+
+
+def test_side_join_never_emits_all_pairs(spark):
+    from ratecell.operators.joins import join_sides
+    a = spark.createDataFrame([("k", 1.0)] * 50, "k string, v double")
+    b = spark.createDataFrame([("k", 2.0)] * 40, "k string, w double")
+    out = join_sides(a, b, ["k"])
+    assert out.count() == 50                      # not 50 x 40
+    assert out.first()["w"] == 80.0
+    assert join_sides(a, b, ["k"], one_per_key=False).count() == 2000

@@ -61,6 +61,19 @@ def write_exhibits(exhibits: Mapping[str, DataFrame], folder: str, ticket: int |
     return log
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the session's shared checkpoint folder
+    and read it back: later consumers start from these files (column-pruned,
+    filter-pushed) instead of re-running the lineage, and a lost executor
+    re-reads files rather than recomputing joins."""
+    import uuid
+    from ratecell.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint to the session's shared checkpoint folder."""
     return df.checkpoint(eager=True)

@@ -50,16 +50,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the folder ``checkpoint()`` writes to, setting one only if none is set.
+    """Return the folder ``checkpoint()`` / ``materialize`` write to, setting one
+    only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is. Only a session without one (a local test) gets a scratch folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:           # Spark Connect: no SparkContext on the client
+        sc = None
+    current = None
+    if sc is not None:
+        current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            current = None
     if current:
-        sc.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="ratecell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path

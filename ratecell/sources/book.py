@@ -204,7 +204,11 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:           # Spark Connect
+        app = spark.sessionId if hasattr(spark, "sessionId") else None
+    key = (id(spark), app, sf_dir.rstrip("/"), kind)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]

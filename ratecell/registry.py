@@ -494,8 +494,10 @@ def q_config_projection(spark, sf):
 
 
 def q_write_read_exhibit(spark, sf):
+    import uuid
     ex = D.trx_by_vehicle(*_sides(spark, sf))
-    folder = f"{ensure_checkpoint_dir(spark)}/exhibits"
+    # a folder per call: the returned frame reads these files lazily
+    folder = f"{ensure_checkpoint_dir(spark)}/exhibits/{uuid.uuid4().hex}"
     log: list = []
     SK.write_exhibit(ex, folder, 2569, "dislocation", "TRX_by_Vehicle", dry_run=True, log=log)
     path = SK.write_exhibit(ex, folder, 2569, "dislocation", "TRX_by_Vehicle", log=log)

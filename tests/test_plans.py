@@ -71,3 +71,39 @@ def test_config_tables_become_projections(spark):
     before = _plan(b).count("Join")
     after = _plan(rerate(b, EXAMPLE_CHART, RERATED)).count("Join")
     assert before == after
+
+
+def test_hot_vehicle_is_pre_reduced_not_windowed(spark):
+    """A vehicle holding a third of all rows: totals and principal pick stay exact,
+    and the plan has no Window (the hot vehicle is never gathered into one task)."""
+    from pyspark.sql import functions as F
+    from ratecell import spec
+    rows = []
+    for i in range(300):
+        veh = 1 if i % 3 == 0 else 100 + i
+        rows.append(("SN", 1, 7, 7, veh, f"{i:04d}", "Principal" if i % 2 == 0 else "Occasional",
+                     float(i), float(i)))
+    j = spark.createDataFrame(rows, "pol_uwcompany_cd string, pol_insurer_no int, "
+                                    "clt_account_no int, pol_policy_no int, veh_id_no int, "
+                                    "dri_id_no string, dri_type_cd string, "
+                                    "Prm_Trm_Dri_Base_Uncap_Am double, Prm_Trm_Dri_Base_Uncap_Am_Prop double")
+    for c in ["BI", "PD", "DC", "AB", "UA", "AP_COL", "AP_SP_CMP", "UI"]:
+        j = j.withColumn(f"Prm_Trm_{c}_Uncap_Am", F.lit(1.0)).withColumn(f"Prm_Trm_{c}_Uncap_Am_Prop",
+                                                                          F.lit(1.0))
+    v = D.inf_principal_vehicles(j, ["dri_type_cd"])
+    assert "Window" not in _plan(v)
+    hot = v.filter(F.col("veh_id_no") == 1).first()
+    assert hot["Prm_Trm_Veh_Base_Uncap_Am"] == float(sum(i for i in range(0, 300, 3)))
+    assert hot["Prm_Trm_Veh_BI_Uncap_Am"] == 100.0
+    assert hot["dri_id_no"] == "0000"
+    assert spec.INF_VEHICLE[0] == "pol_uwcompany_cd"
+
+
+def test_group_totals_window_and_join_agree(spark):
+    from pyspark.sql import functions as F
+    from ratecell.operators.windows import with_group_totals
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0)], "k string, v double")
+    w = with_group_totals(df, ["k"], {"t": F.col("v")}, method="window")
+    j = with_group_totals(df, ["k"], {"t": F.col("v")}, method="join")
+    assert w.select("k", "v", "t").exceptAll(j.select("k", "v", "t")).count() == 0
+    assert "Window" not in _plan(j)

@@ -45,3 +45,22 @@ def score_inforce(inforce: DataFrame, loss_cost: DataFrame, clear: DataFrame,
     d = attach_loss_cost(base, loss_cost, spec.LOSS_COST_KEYS, spec.LOSS_COST_RENAME)
     d = onlevel_clear(d, clear)
     return rerate(d, chart, premiums)
+
+
+def score_job(inforce: DataFrame, loss_cost: DataFrame, out_table: str,
+              clear_prefix: str = "ibc_clear_", chart=EXAMPLE_CHART,
+              premiums: Sequence[str] = RERATED, fmt: str = "parquet",
+              bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+    """The scoring step end to end: latest CLEAR table from the catalog, score,
+    write the result as a table (bucketed on the later side-join keys if asked,
+    so the summary's join needs no shuffle), then the merge test against the
+    written table - the summary then reads files, not this lineage."""
+    from ratecell.operators.checks import assert_same_rows
+    from ratecell.sources.catalog import latest_version
+    from ratecell.sources.sinks import save_table
+    spark = inforce.sparkSession
+    clear_name, _ = latest_version(spark, clear_prefix)
+    scored = score_inforce(inforce, loss_cost, spark.table(clear_name), chart, premiums)
+    save_table(scored, out_table, fmt, bucket_by=bucket_by)
+    assert_same_rows(inforce, spark.table(out_table))
+    return out_table

@@ -55,3 +55,17 @@ def test_checkpoint_cuts_lineage(spark):
     d = sinks.cut_lineage(B.book(spark, SF0001).select("veh_id_no"))
     assert "Scan parquet" not in d._jdf.queryExecution().optimizedPlan().toString()
     assert d.count() == 6000
+
+
+def test_score_job_writes_bucketed_table(spark):
+    from ratecell import spec
+    from ratecell.plans import scoring
+    from ratecell.sources.extract import extract_inforce
+    for y in (2024, 2025):
+        B.clear_table(spark, SF0001, y).createOrReplaceTempView(f"ibc_clear_{y}")
+    inf = extract_inforce(B.book(spark, SF0001), province=None)
+    out = scoring.score_job(inf, B.loss_cost_table(spark, SF0001), "inf_scored_cur",
+                            bucket_by=(8, spec.INF_UNIQUE_KEYS))
+    t = spark.table(out)
+    assert t.count() == inf.count()
+    assert t.filter(F.col("lc_losscost_total_pred_am").isNull()).count() == 0

@@ -451,6 +451,18 @@ def config_projection():
             f"SUM(Prm_Ern_BI_OnLvl_End_Am) AS prm_bi FROM {BC} GROUP BY pol_jurisdiction_cd, veh_product_cd")
 
 
+def trx_classification_long():
+    variables = ["fsa_tx", "ter_onlvl_ibc_no", "veh_age_nb", "rat_km_annual_nb", "dri_gender_cd",
+                 "veh_vicc_price_am"]
+    meas = O.TRX_PREM + O.TRX_XPO + O.TRX_CLM_NB + O.TRX_CLM_AM
+    keys = "pol_jurisdiction_cd, pol_uwcompany_cd, pol_acc_yr_dt"
+    src = O.prep_sql(TRX_PREP, O._book_cols() + ["fsa_tx"], fsa=None)
+    parts = [f"SELECT {keys}, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
+             + ", ".join(f"SUM({m}) AS {m}" for m in meas)
+             + f" FROM p GROUP BY {keys}, CAST({v} AS VARCHAR)" for v in variables]
+    return f"WITH p AS ({src})\n" + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     out = {n: f() for n, f in [
         ("extract_trx", extract_trx), ("extract_inforce", extract_inforce),
@@ -477,5 +489,6 @@ def oracle_sql() -> dict[str, str]:
         ("first_per_group", first_per_group), ("row_index", row_index),
         ("union_variables", union_variables), ("resolve_table", row_profile),
         ("optional_source", optional_source), ("write_read_exhibit", O.trx_by_vehicle_sql),
-        ("config_projection", config_projection)]}
+        ("config_projection", config_projection),
+        ("trx_classification_long", trx_classification_long)]}
     return out

@@ -56,6 +56,14 @@ def q_trx_classification(spark, sf):
     return C.trx_classification(B.book(spark, sf))
 
 
+TRX_VARIABLES = ["fsa_tx", "ter_onlvl_ibc_no", "veh_age_nb", "rat_km_annual_nb", "dri_gender_cd",
+                 "veh_vicc_price_am"]
+
+
+def q_trx_classification_long(spark, sf):
+    return C.trx_classification_long(B.book(spark, sf), TRX_VARIABLES)
+
+
 def q_inforce_classification(spark, sf):
     return C.inforce_classification(B.book(spark, sf))
 
@@ -509,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "dislocation_trx_driver": q_dislocation_trx_driver,
     "dislocation_inf_vehicle": q_dislocation_inf_vehicle,
     "trx_classification": q_trx_classification,
+    "trx_classification_long": q_trx_classification_long,
     "inforce_classification": q_inforce_classification,
     "elr": q_elr,
     "elr_long": q_elr_long,

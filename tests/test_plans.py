@@ -107,3 +107,18 @@ def test_group_totals_window_and_join_agree(spark):
     j = with_group_totals(df, ["k"], {"t": F.col("v")}, method="join")
     assert w.select("k", "v", "t").exceptAll(j.select("k", "v", "t")).count() == 0
     assert "Window" not in _plan(j)
+
+
+def test_classification_long_splits_to_single_exhibits(spark):
+    from pyspark.sql import functions as F
+    from ratecell.plans import classification as C
+    b = B.book(spark, SF0001)
+    long_df = C.trx_classification_long(b, ["fsa_tx", "dri_gender_cd"])
+    one = C.split_long(long_df, ["fsa_tx"])["fsa_tx"]
+    ref = C.trx_classification(b)
+    cols = sorted(ref.columns)
+    assert one.select(cols).exceptAll(ref.select(cols)).count() == 0
+    assert ref.select(cols).exceptAll(one.select(cols)).count() == 0
+    plan = long_df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("Relation") == 6
+    assert F is not None

@@ -297,19 +297,18 @@ def q_weighted_mean(spark, sf):
 
 
 def q_closing_ratio(spark, sf):
-    from ratecell.operators.aggregates import distinct_and_flagged
+    from ratecell.operators.aggregates import distinct_flagged_by
     c = E.closing_prepared(B.closing(spark, sf))
-    q, b = distinct_and_flagged("pol_quote_no", "clo_bound_in")
-    g = c.groupBy("pol_uwcompany_cd", "veh_fsa_tx").agg(q.alias("quotes"), b.alias("bound"))
+    g = distinct_flagged_by(c, ["pol_uwcompany_cd", "veh_fsa_tx"], "pol_quote_no", "clo_bound_in",
+                            "quotes", "bound")
     return g.withColumn("closing_ratio", SC.ratio_or_null("bound", "quotes"))
 
 
 def q_retention_ratio(spark, sf):
-    from ratecell.operators.aggregates import distinct_and_flagged
+    from ratecell.operators.aggregates import distinct_flagged_by
     r = E.retention_prepared(B.retention(spark, sf))
-    e, k = distinct_and_flagged("pol_policy_no", "retained_in")
-    g = r.groupBy("pol_uwcompany_cd", "dri_gender_cd").agg(e.alias("policies_exposed"),
-                                                           k.alias("policies_retained"))
+    g = distinct_flagged_by(r, ["pol_uwcompany_cd", "dri_gender_cd"], "pol_policy_no", "retained_in",
+                            "policies_exposed", "policies_retained")
     return g.withColumn("retention_actual", SC.ratio_or_null("policies_retained", "policies_exposed"))
 
 
@@ -472,15 +471,14 @@ def q_resolve_table(spark, sf):
 
 
 def q_optional_source(spark, sf):
-    from ratecell.operators.aggregates import distinct_and_flagged
+    from ratecell.operators.aggregates import distinct_flagged_by
     caveats: list[str] = []
     B.closing(spark, sf).createOrReplaceTempView("closing_byvehdri")
     clo = CAT.optional_table(spark, "closing_byvehdri",
                              ["pol_quote_no", "clo_bound_in", "pol_jurisdiction_cd"], caveats)
     ret = CAT.optional_table(spark, "retention_missing", ["retained_in"], caveats)
     c = E.closing_prepared(clo)
-    q, b = distinct_and_flagged("pol_quote_no", "clo_bound_in")
-    g = c.groupBy("pol_uwcompany_cd").agg(q.alias("quotes"), b.alias("bound"))
+    g = distinct_flagged_by(c, ["pol_uwcompany_cd"], "pol_quote_no", "clo_bound_in", "quotes", "bound")
     g = g.withColumn("closing_ratio", SC.ratio_or_null("bound", "quotes"))
     if ret is None:
         g = SCH.with_typed_nulls(g, {"policies_exposed": "long", "retention_actual": "double"})

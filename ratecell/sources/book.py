@@ -220,16 +220,17 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "joined", lambda: _joined(spark, sf_dir))
 
 
-def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The driver's files are one parquet row group each, so a scan has a single
     non-empty split and everything before the first shuffle would run in one
     task. Only when the scan has fewer partitions than the cluster's default
-    parallelism is the table hash-repartitioned; large inputs keep their own
-    file splits and pay no shuffle."""
+    parallelism is the table repartitioned - round-robin, so no key value (however
+    hot) decides where rows go; large inputs keep their own file splits and pay
+    no shuffle."""
     try:
         par = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < par:
-            return df.repartition(par, key)
+            return df.repartition(par)
     except Exception:       # Spark Connect: keep the scan as it is
         pass
     return df
@@ -238,7 +239,7 @@ def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: read_table(spark, sf_dir, n)
          for n in ["lineitem", "orders", "customer", "nation", "region", "part"]}
-    t["lineitem"] = _spread(spark, t["lineitem"], "l_orderkey")
+    t["lineitem"] = _spread(spark, t["lineitem"])
     return (t["lineitem"]
             .join(t["orders"], t["lineitem"]["l_orderkey"] == t["orders"]["o_orderkey"])
             .join(t["customer"], t["orders"]["o_custkey"] == t["customer"]["c_custkey"])

@@ -463,6 +463,21 @@ def trx_classification_long():
     return f"WITH p AS ({src})\n" + " UNION ALL ".join(parts)
 
 
+def inforce_classification_long():
+    variables = ["fsa_tx", "ter_onlvl_ibc_no", "veh_age_nb", "number_veh_in_family",
+                 "clt_p_holder_credit_score_no", "dri_type_cd_x_rat_km_work_nb"]
+    xpo = [("Xpo_BI", "cov_bi_in"), ("Xpo_DC", "cov_dc_in"), ("Xpo_PD", "cov_pd_in"),
+           ("Xpo_AB", "cov_ab_in"), ("Xpo_AP_COL", "cov_ap_col_in"),
+           ("Xpo_AP_SP_CMP", "cov_ap_sp_cmp_in")]
+    prm = ["Prm_Trm_BI_Uncap_Am", "Prm_Trm_DC_Uncap_Am", "Prm_Trm_PD_Uncap_Am",
+           "Prm_Trm_AB_Uncap_Am", "Prm_Trm_AP_COL_Uncap_Am", "Prm_Trm_AP_SP_CMP_Uncap_Am"]
+    aggs = ", ".join([f"CAST(SUM({i}) AS BIGINT) AS {x}" for x, i in xpo] + [f"SUM({p}) AS {p}" for p in prm])
+    src = O.prep_sql(INF_PREP, O._book_cols() + ["fsa_tx", "cov_ap_col_in", "cov_ap_sp_cmp_in"], fsa=None)
+    parts = [f"SELECT pol_uwcompany_cd, '{v}' AS variable_name, CAST({v} AS VARCHAR) AS level_value, "
+             f"{aggs} FROM p GROUP BY pol_uwcompany_cd, CAST({v} AS VARCHAR)" for v in variables]
+    return f"WITH p AS ({src})\n" + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     out = {n: f() for n, f in [
         ("extract_trx", extract_trx), ("extract_inforce", extract_inforce),
@@ -490,5 +505,6 @@ def oracle_sql() -> dict[str, str]:
         ("union_variables", union_variables), ("resolve_table", row_profile),
         ("optional_source", optional_source), ("write_read_exhibit", O.trx_by_vehicle_sql),
         ("config_projection", config_projection),
-        ("trx_classification_long", trx_classification_long)]}
+        ("trx_classification_long", trx_classification_long),
+        ("inforce_classification_long", inforce_classification_long)]}
     return out

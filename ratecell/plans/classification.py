@@ -92,3 +92,21 @@ def split_long(long_df: DataFrame, variables: Iterable[str]) -> dict[str, DataFr
     when several exhibits are exported, so each reads the small result."""
     return {v: long_df.filter(F.col("variable_name") == F.lit(v))
             .withColumnRenamed("level_value", v).drop("variable_name") for v in variables}
+
+
+def inforce_classification_long(inf: DataFrame, variables: Iterable[str],
+                                province: str | None = None, fsa_col: str = "veh_fsa_tx",
+                                prep: PrepSpec = DEFAULT_PREP) -> DataFrame:
+    """Inforce exhibits for several variables in ONE pass (see ``trx_classification_long``)."""
+    from ratecell.operators.aggregates import explode_levels, variable_names
+    d = inforce_prepared(inf, province, fsa_col, prep)
+    vs = list(variables)
+    missing = [v for v in vs if v not in d.columns]
+    if missing:
+        raise ValueError(f"inforce: variables not on the prepared table: {missing}")
+    inds = [ind for _, ind in spec.INF_EXPOSURES]
+    g = (d.select("pol_uwcompany_cd", *inds, *spec.INF_PREMIUMS, *explode_levels(vs))
+         .groupBy("pol_uwcompany_cd", "_var", "level_value")
+         .agg(*[F.sum(ind).alias(xpo) for xpo, ind in spec.INF_EXPOSURES],
+              *[F.sum(p).alias(p) for p in spec.INF_PREMIUMS]))
+    return g.withColumn("variable_name", variable_names(vs)).drop("_var")

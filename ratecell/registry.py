@@ -64,6 +64,14 @@ def q_trx_classification_long(spark, sf):
     return C.trx_classification_long(B.book(spark, sf), TRX_VARIABLES)
 
 
+INF_VARIABLES = ["fsa_tx", "ter_onlvl_ibc_no", "veh_age_nb", "number_veh_in_family",
+                 "clt_p_holder_credit_score_no", "dri_type_cd_x_rat_km_work_nb"]
+
+
+def q_inforce_classification_long(spark, sf):
+    return C.inforce_classification_long(B.book(spark, sf), INF_VARIABLES)
+
+
 def q_inforce_classification(spark, sf):
     return C.inforce_classification(B.book(spark, sf))
 
@@ -517,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "trx_classification": q_trx_classification,
     "trx_classification_long": q_trx_classification_long,
     "inforce_classification": q_inforce_classification,
+    "inforce_classification_long": q_inforce_classification_long,
     "elr": q_elr,
     "elr_long": q_elr_long,
     "extract_trx": q_extract_trx,

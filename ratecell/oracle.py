@@ -164,7 +164,6 @@ C_VARS = ["dri_type_cd_x_rat_km_work_nb", "dri_type_cd_x_rat_km_business_nb",
           "dri_type_cd_x_rat_km_annual_nb", "dri_yrs_licensed_au_nb_x_dri_gender_cd",
           "clt_p_holder_credit_score_no", "veh_vicc_price_am", "veh_rg_ab_no", "veh_rg_dc_no",
           "veh_rg_col_no", "veh_rg_cmp_no", "fsa_tx"]
-BOOK_COLS = None
 
 
 def _book_cols() -> list[str]:

@@ -110,7 +110,6 @@ def test_group_totals_window_and_join_agree(spark):
 
 
 def test_classification_long_splits_to_single_exhibits(spark):
-    from pyspark.sql import functions as F
     from ratecell.plans import classification as C
     b = B.book(spark, SF0001)
     long_df = C.trx_classification_long(b, ["fsa_tx", "dri_gender_cd"])
@@ -121,4 +120,3 @@ def test_classification_long_splits_to_single_exhibits(spark):
     assert ref.select(cols).exceptAll(one.select(cols)).count() == 0
     plan = long_df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate") == 1 and plan.count("Relation") == 6
-    assert F is not None

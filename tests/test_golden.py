@@ -215,3 +215,19 @@ def test_side_join_never_emits_all_pairs(spark):
     assert out.count() == 50                      # not 50 x 40
     assert out.first()["w"] == 80.0
     assert join_sides(a, b, ["k"], one_per_key=False).count() == 2000
+
+
+def test_retention_levels_match_only_when_prepped(spark):
+    from conftest import SF0001
+    from ratecell.sources import book as B
+    inf, ret = B.book(spark, SF0001), B.retention(spark, SF0001)
+
+    def ten_plus(df):
+        return df.filter((F.col("variable_name") == "veh_age_nb") & (F.col("level_value") == "10+")
+                         & (F.col("pol_uwcompany_cd") == "TDHA")).first()
+
+    raw = ten_plus(E.elr_long(inf, retention=ret))
+    assert raw["policies_exposed"] is None           # raw ages 11..14 never equal the band '10+'
+    prepped = ten_plus(E.elr_long(inf, retention=ret, prep_retention=True))
+    assert prepped["policies_exposed"] > 0
+    assert 0.0 <= prepped["retention_actual"] <= 1.0

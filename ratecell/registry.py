@@ -36,6 +36,13 @@ from ratecell.sources import book as B
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tag(sf: str) -> str:
+    """View-name suffix per input folder, so views registered for one scale
+    factor are never replaced under a frame built for another."""
+    import re
+    return re.sub(r"\W", "_", sf.rstrip("/").rsplit("/", 1)[-1])
+
+
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return B.book(spark, sf, "current"), B.book(spark, sf, "proposed")
 
@@ -390,9 +397,10 @@ def q_loss_cost_join(spark, sf):
 
 
 def _register_clear(spark, sf):
+    prefix = f"ibc_clear_{_tag(sf)}_"
     for year in (2024, 2025):
-        B.clear_table(spark, sf, year).createOrReplaceTempView(f"ibc_clear_{year}")
-    return CAT.latest_version(spark, "ibc_clear_")
+        B.clear_table(spark, sf, year).createOrReplaceTempView(f"{prefix}{year}")
+    return CAT.latest_version(spark, prefix)
 
 
 def q_versioned_lookup(spark, sf):
@@ -471,9 +479,11 @@ def q_union_variables(spark, sf):
 # --- catalog and sinks --------------------------------------------------------------------------
 def q_resolve_table(spark, sf):
     b = B.book(spark, sf)
-    b.drop(*spec.TRX_PREMIUMS).createOrReplaceTempView("trx_ns_prep_onlvl")
-    b.createOrReplaceTempView("trx_ap_prep_onlvl")
-    _, d = CAT.resolve_table(spark, ["trx_ns_missing", "trx_ns_prep_onlvl", "trx_ap_prep_onlvl"],
+    t = _tag(sf)
+    b.drop(*spec.TRX_PREMIUMS).createOrReplaceTempView(f"trx_ns_prep_onlvl_{t}")
+    b.createOrReplaceTempView(f"trx_ap_prep_onlvl_{t}")
+    _, d = CAT.resolve_table(spark, [f"trx_ns_missing_{t}", f"trx_ns_prep_onlvl_{t}",
+                                     f"trx_ap_prep_onlvl_{t}"],
                              spec.TRX_GROUP + spec.TRX_MEASURES + ["dri_type_cd", "veh_fsa_tx"])
     return CK.row_profile(d)
 
@@ -481,8 +491,8 @@ def q_resolve_table(spark, sf):
 def q_optional_source(spark, sf):
     from ratecell.operators.aggregates import distinct_flagged_by
     caveats: list[str] = []
-    B.closing(spark, sf).createOrReplaceTempView("closing_byvehdri")
-    clo = CAT.optional_table(spark, "closing_byvehdri",
+    B.closing(spark, sf).createOrReplaceTempView(f"closing_byvehdri_{_tag(sf)}")
+    clo = CAT.optional_table(spark, f"closing_byvehdri_{_tag(sf)}",
                              ["pol_quote_no", "clo_bound_in", "pol_jurisdiction_cd"], caveats)
     ret = CAT.optional_table(spark, "retention_missing", ["retained_in"], caveats)
     c = E.closing_prepared(clo)
@@ -496,14 +506,15 @@ def q_optional_source(spark, sf):
 def q_config_projection(spark, sf):
     """Helper CSV lists the extract's columns (S6, S7); the projection is registered
     as a view (S8), checked to exist and be non-empty (S9), then queried in SQL."""
-    helper = f"{ensure_checkpoint_dir(spark)}/helpers/trx_extract_helper.csv"
+    helper = f"{ensure_checkpoint_dir(spark)}/helpers/{_tag(sf)}/trx_extract_helper.csv"
     (spark.createDataFrame([(c,) for c in EXTRACT_COLS], "var_name string").coalesce(1)
      .write.mode("overwrite").option("header", True).csv(helper))
     names = EX.config_columns(EX.read_helper(spark, helper))
-    EX.register(B.book(spark, sf).select(*names), "trx_extract_view")
-    CAT.require_tables(spark, {"extract": "trx_extract_view"}, non_empty=True)
+    view = f"trx_extract_view_{_tag(sf)}"
+    EX.register(B.book(spark, sf).select(*names), view)
+    CAT.require_tables(spark, {"extract": view}, non_empty=True)
     return spark.sql("SELECT pol_jurisdiction_cd, veh_product_cd, COUNT(*) AS rows, "
-                     "SUM(Prm_Ern_BI_OnLvl_End_Am) AS prm_bi FROM trx_extract_view "
+                     f"SUM(Prm_Ern_BI_OnLvl_End_Am) AS prm_bi FROM {view} "
                      "GROUP BY pol_jurisdiction_cd, veh_product_cd")
 
 

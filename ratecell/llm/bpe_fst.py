@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from ratecell.llm.common import Recent, ship, texts
 
-MEMO = 200_000
-STATES = 100_000
+MEMO = 400_000
+STATES = 150_000
 _NO = 1 << 60
 
 

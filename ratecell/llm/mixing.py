@@ -25,7 +25,7 @@ from ratecell.llm.common import free_name, global_index, written
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 CAP = 2
-BITS, LEVELS = 10, 6            # 60 bits of hash
+BITS, LEVELS = 12, 5            # 60 bits of hash
 
 
 def doc_hash(doc_id):
@@ -66,8 +66,9 @@ def targets(sized: DataFrame) -> DataFrame:
     return per.withColumn("target", full if rate is None else F.least(full, F.lit(rate) * F.col("weight")))
 
 
-def times_taken(sized: DataFrame) -> DataFrame:
-    """``sized`` with source_size, target and times (how often the mix takes the document)."""
+def thresholds(sized: DataFrame) -> DataFrame:
+    """source, source_size, target, passes (how often all its documents are taken) and cut (those
+    with a hash up to it are taken once more)."""
     t = targets(sized)
     s = F.col("source_size")
     passes = F.when(s > 0, F.floor(F.col("target") / s)).otherwise(0).cast("int")
@@ -98,27 +99,33 @@ def times_taken(sized: DataFrame) -> DataFrame:
         state = written(state, f"mix-level{level + 1}")
     # One hash value is left: taken if the sum then comes nearer to the target.
     more = F.when(F.col("last") <= 2 * F.col("rest"), F.col("prefix")).otherwise(F.col("prefix") - 1)
-    cut = state.select(F.col("source").alias("_s"), "source_size", "target", "passes", more.alias("cut"))
-    once = ((F.col("h") <= F.col("cut")) & (F.col("passes") < CAP)).cast("int")
-    return (sized.join(cut, F.col("source").eqNullSafe(F.col("_s")))
-            .select("doc_id", "source", "size", "h", "source_size", "target", (F.col("passes") + once).alias("times")))
+    return state.select("source", "source_size", "target", "passes", more.alias("cut"))
+
+
+def _times(h):
+    return F.col("passes") + ((h <= F.col("cut")) & (F.col("passes") < CAP)).cast("int")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
-    m = times_taken(sizes(docs))
-    return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    sized = sizes(docs)
+    cut = thresholds(sized).withColumnRenamed("source", "_s")
+    return (sized.join(cut, F.col("source").eqNullSafe(F.col("_s")))
+            .select("doc_id", "size", "source_size", "target", (F.col("size") * _times(F.col("h"))).alias("taken")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix: each document as often as it is taken, columns unchanged. Only ids and counts are
-    shuffled: the thresholds, a few numbers for each source, meet the documents where they are."""
-    m = times_taken(sizes(docs))
-    cut = m.groupBy("doc_id", "source").agg(F.first("times").alias("n"))
-    src, did, n = free_name(docs, "_src"), free_name(docs, "_did"), free_name(docs, "_n")
-    cut = cut.select(F.col("doc_id").alias(did), F.col("source").alias(src), F.col("n").alias(n))
-    got = docs.join(cut, docs["doc_id"].eqNullSafe(F.col(did)) & docs["source"].cast("string").eqNullSafe(F.col(src)))
-    return (got.where(F.col(n) > 0).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(did, src, n))
+    """The mix: each document as often as it is taken, columns unchanged. The thresholds, one row
+    for each source, meet the documents; no row is sorted."""
+    cut = thresholds(sizes(docs))
+    src, n = free_name(docs, "_src"), free_name(docs, "_n")
+    times = docs.select(F.col("*"), F.struct(doc_hash(F.col("doc_id")).alias("h")).alias(n))
+    got = times.join(cut.select(F.col("source").alias(src), F.struct("passes", "cut").alias(src + "c")),
+                     F.col("source").cast("string").eqNullSafe(F.col(src)))
+    count = F.col(f"{src}c.passes") + ((F.col(f"{n}.h") <= F.col(f"{src}c.cut"))
+                                       & (F.col(f"{src}c.passes") < CAP)).cast("int")
+    return (got.withColumn(n, count).where(F.col(n) > 0)
+            .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n, src, src + "c"))
 
 
 # The same as a running sum in hash order.
@@ -138,8 +145,8 @@ r AS (
   FROM s
   WINDOW p AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 rate AS (
-  SELECT min((1.5 * total - 2 * over) / open_weight) AS rate FROM r
-  WHERE (1.5 * total - 2 * over) / open_weight * weight <= 2 * source_size),
+  -- capping too few or too many sources gives a lower rate
+  SELECT max((1.5 * total - 2 * over) / open_weight) AS rate FROM r),
 t AS (
   SELECT source, source_size, least(2 * source_size::DOUBLE, rate * weight) AS target FROM s, rate),
 b AS (

@@ -30,6 +30,7 @@ from ratecell.llm.common import global_index, texts, written
 LONG = 600
 CELLS = 8
 TRIES = 9
+SAMPLE = 16
 ROUNDS = 40
 
 
@@ -46,13 +47,17 @@ def digests(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(units, lambda x: F.xxhash64(x))))
 
 
-def _entries(keys: Column, sign: int, bits: Column) -> Column:
-    """A cell entry for each digest and subtable."""
+def _check(d: Column) -> Column:
+    return F.xxhash64(d)
+
+
+def _entries(keys: Column, sign: int, cells: Column) -> Column:
+    """A cell entry for each digest and subtable. Digests are hashes: their lowest, middle and
+    highest bits give the three places."""
     def three(d):
-        check = F.xxhash64(d, F.lit("check"))
         return F.array(*[F.struct(
-            (F.shiftleft(F.lit(t).cast("long"), 48) + F.pmod(F.xxhash64(d, F.lit(t)), bits)).alias("cell"),
-            F.lit(sign).alias("n"), d.alias("key"), check.alias("check")) for t in range(3)])
+            (F.shiftrightunsigned(d, 20 * t).bitwiseAND((cells - 1).cast("long")) + F.lit(t << 48)).alias("cell"),
+            F.lit(sign).alias("n"), d.alias("key"), _check(d).alias("check")) for t in range(3)])
     return F.flatten(F.transform(keys, three))
 
 
@@ -85,7 +90,7 @@ def table(keys: Column, cells) -> Column:
 def _round(state: Column, cells: Column) -> Column:
     """Take all pure cells at once."""
     def pure(c):
-        return (F.abs(c["n"]) == 1) & (F.xxhash64(c["key"], F.lit("check")) == c["check"])
+        return (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"])
 
     def take(found):
         plus = F.transform(F.filter(found, lambda x: x["n"] == 1), lambda x: x["key"])
@@ -113,10 +118,14 @@ def difference(a: Column, b: Column) -> Column:
                                            e["minus"].alias("minus"), (st["tries"] + 1).alias("tries")))
 
     begin = F.struct(F.lit(False).alias("done"), none.alias("plus"), none.alias("minus"), F.lit(0).alias("tries"))
-    # A table with fewer cells than the least possible difference can't be peeled: not tried.
-    least = F.abs(F.size(a) - F.size(b))
-    got = F.aggregate(F.array(*[F.lit(CELLS << 2 * k) for k in range(TRIES)]), begin,
-                      lambda s, cells: F.when(s["done"] | (3 * cells < least), s).otherwise(attempt(s, cells)))
+    # Where to begin: the smallest digests of both sets are a sample of their union, whose overlap
+    # estimates the difference. A table much smaller than that can't be peeled and isn't tried.
+    same = F.size(F.array_intersect(F.slice(a, 1, SAMPLE), F.slice(b, 1, SAMPLE))) / F.lit(float(SAMPLE))
+    least = F.greatest(F.abs(F.size(a) - F.size(b)).cast("double"),
+                       (F.size(a) + F.size(b)) * (F.lit(1.0) - same) / (F.lit(1.0) + same))
+    sizes = F.array(*[F.lit(CELLS << 2 * k) for k in range(TRIES)])
+    got = let(least, lambda low: F.aggregate(F.filter(sizes, lambda c: (2 * c >= low) | (c == CELLS << 2 * (TRIES - 1))),
+                                             begin, lambda s, c: F.when(s["done"], s).otherwise(attempt(s, c))))
     exact = F.struct(F.lit(True).alias("done"), F.array_except(a, b).alias("plus"), F.array_except(b, a).alias("minus"),
                      F.lit(TRIES + 1).alias("tries"))
     return let(got, lambda g: F.when(g["done"], g).otherwise(exact))
@@ -131,8 +140,8 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprint(keys: Column) -> Column:
     """The table of ``CELLS`` cells as text: paragraphs, then cell.count.digests.checks each."""
     cell = F.transform(table(keys, CELLS), lambda c: F.concat_ws(
-        ".", F.conv(F.shiftright(c["cell"], 48) * CELLS + c["cell"].bitwiseAND(F.lit(0xFFFFFFFF)), 10, 16),
-        F.conv(c["n"].cast("string"), 10, 16), F.hex(c["key"]), F.substring(F.hex(c["check"]), -8, 8)))
+        ".", F.hex(F.shiftright(c["cell"], 48) * CELLS + c["cell"].bitwiseAND(F.lit(0xFFFFFFFF))),
+        c["n"].cast("string"), F.hex(c["key"]), F.hex(c["check"].bitwiseAND(F.lit(0xFFFFFFFF)))))
     return F.concat_ws("-", F.size(keys).cast("string"), F.array_join(cell, "-"))
 
 
@@ -144,27 +153,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def compare_versions(docs: DataFrame) -> DataFrame:
     """Every text, its edited version (the last third replaced by the start of the next document in
     descending doc_id order) and the next document, compared by their fingerprints."""
-    base = texts(docs).select("doc_id", F.xxhash64("text").alias("h"), "text")
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    ids = base.select("doc_id", "h", F.length("text").alias("n")).distinct()
-    ids = written(global_index(ids, order, "iblt-order", "i"), "iblt-ids")
+    # id and h name a text: doc_id (a null one as the smallest number) and a hash of the text.
+    base = texts(docs).select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
+                              F.xxhash64("text").alias("h"), "text")
+    ids = base.select("id", "h", F.length("text").alias("n")).distinct()
+    ids = written(global_index(ids, ["id", "h"], "iblt-order", "i"), "iblt-ids")
     total = ids.count()
     # Each text serves as the next of the one after it; the last one, of the first.
-    after = ids.select(F.col("doc_id").alias("for_doc"), F.col("h").alias("for_h"),
+    after = ids.select(F.col("id").alias("for_id"), F.col("h").alias("for_h"),
                        F.pmod(F.col("i") - 1, F.lit(max(total, 1))).alias("i"), F.floor(F.col("n") / 3).alias("k"))
-    link = ids.select("doc_id", "h", "i").join(after, "i").drop("i")
-    key = F.col("doc_id").eqNullSafe(F.col("l_doc")) & (F.col("h") == F.col("l_h"))
-
-    def meets(links, *cols):
-        links = links.select(F.col("doc_id").alias("l_doc"), F.col("h").alias("l_h"), *cols)
-        return base.hint("merge").join(links, key)
-
-    start = meets(link, "for_doc", "for_h", "k").dropDuplicates(["doc_id", "h", "for_doc", "for_h"])
-    start = start.select(F.col("for_doc").alias("doc_id"), F.col("for_h").alias("h"),
-                         F.substring("text", F.lit(1), F.col("k").cast("int")).alias("lead"),
-                         digests(F.col("text")).alias("next"))
+    link = ids.select("id", "h", "i").join(after, "i").drop("i")
+    # Both joins with the texts use the same shuffle of them; only the leads and the digests of the
+    # next texts are shuffled besides (once for repeated rows).
+    start = (base.hint("merge").join(link, ["id", "h"])
+             .select(F.col("for_id").alias("id"), F.col("for_h").alias("h"),
+                     F.struct(F.substring("text", F.lit(1), F.col("k").cast("int")).alias("lead"),
+                              digests(F.col("text")).alias("next")).alias("s"))
+             .groupBy("id", "h").agg(F.first("s").alias("s")).select("id", "h", "s.lead", "s.next"))
     n = F.length("text")
-    both = meets(start, "lead", "next").select(
+    both = base.hint("merge").join(start, ["id", "h"]).select(
         "doc_id", n.cast("long").alias("n_chars"), "text",
         F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "lead").alias("edited"), "next")
     got = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

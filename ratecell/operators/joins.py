@@ -2,53 +2,44 @@
 
 Scale notes
 -----------
-* Side joins (current ⟕ proposed) are big-to-big on unique keys: both sides
-  hash-partition on the full key list, so no key holds more than its own rows.
-  The proposed side is summed to one row per key first, so even a repeated key
-  cannot fan out into all of its pairs; AQE's skew join splits a hot key on the
-  current side. Tables written with ``bucketBy`` on the join keys
-  (``sources.sinks.save_table``) make this join shuffle-free.
+* Side joins (current ⟕ proposed) are big-to-big plain left joins on keys that are unique on the
+  proposed side; a repeated key raises before the join. Nothing stands between the exchanges and the
+  join, so AQE's skew join can split a hot partition.
 * Lookup joins (loss costs, CLEAR groups, vehicle bands) are many-to-one; the
   planner broadcasts the right side only when its measured size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and AQE's skew-join splits a hot key
   otherwise. Nothing here forces a broadcast of data whose size grows.
-* Config tables (endorsement split, rating chart) are bounded by definition
-  and are turned into literal expressions after a size check, so they cost
-  no join at all.
+* A rating chart is joined as a long table, one variable after the other; the planner broadcasts a
+  variable's levels if they are small. An endorsement split is summed to one share per endorsement
+  and coverage that the table has, which its columns bound.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import add, mul
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecell.functions.scalars import nz
+from ratecell.operators.checks import assert_unique
 from ratecell.operators.schema import require_columns
 
-# Config tables turned into expressions must stay below this many rows.
-MAX_CONFIG_ROWS = 10_000
-
 
 def join_sides(current: DataFrame, proposed: DataFrame, keys: Sequence[str],
-               how: str = "left", one_per_key: bool = True) -> DataFrame:
+               how: str = "left", check_unique: bool = True) -> DataFrame:
     """``current ⟕ proposed`` on ``keys``; unmatched proposed values stay null.
 
-    With ``one_per_key`` the proposed side is first summed to one row per key.
-    For unique keys (the contract of both scored tables) that changes nothing;
-    if a key repeats, the join can no longer emit every current x proposed pair
-    of that key - its output stays bounded by the current side. The aggregate's
-    output is already hash-partitioned on the keys, so the join adds no exchange.
+    The proposed side's keys must be unique: a job over its key columns raises if one repeats, as
+    each current row would then appear once per match. ``check_unique=False`` leaves that check out
+    for tables that were checked when they were written.
     """
     require_columns(current, keys, "current side")
     require_columns(proposed, keys, "proposed side")
-    if one_per_key:
-        values = [c for c in proposed.columns if c not in set(keys)]
-        proposed = proposed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+    if check_unique:
+        assert_unique(proposed, keys, "proposed side")
     return current.join(proposed, on=list(keys), how=how)
 
 
@@ -67,13 +58,6 @@ def attach_loss_cost(inforce: DataFrame, loss_cost: DataFrame, keys: Sequence[st
     return attach(inforce, lc, keys).withColumnsRenamed(dict(rename))
 
 
-def _bounded_rows(config: DataFrame, what: str) -> list:
-    rows = config.limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"{what} has more than {MAX_CONFIG_ROWS} rows; it is not a config table")
-    return rows
-
-
 def endorsement_split_columns(split: DataFrame | Iterable[tuple[str, str, float]],
                               endorsement_cols: Mapping[str, str],
                               premium_cols: Sequence[str],
@@ -81,20 +65,25 @@ def endorsement_split_columns(split: DataFrame | Iterable[tuple[str, str, float]
                               ) -> dict[str, Column]:
     """``Prm_Trm_<cov>_Uncap_Am_End = base + Σ share(e, cov) · nz(endorsement e)``.
 
-    ``split`` rows are (endorsement, coverage, share); ``endorsement_cols`` maps
-    an endorsement name to its premium column. Coverages without a share keep
-    their base premium. The split is bounded config, so it becomes a literal
-    weighted sum per coverage: a projection, no join.
+    ``split`` rows are (endorsement, coverage, share) in any number; ``endorsement_cols`` maps an
+    endorsement name to its premium column. Shares of one endorsement and coverage add up; those of
+    names that the table doesn't have are left out. Coverages without a share keep their base
+    premium. The shares in use are bounded by the columns, so they become literals in a projection.
     """
-    rows = (_bounded_rows(split, "endorsement split") if isinstance(split, DataFrame)
-            else list(split))
-    shares: dict[str, list[tuple[str, float]]] = defaultdict(list)
-    for e, cov, share in rows:
-        if e in endorsement_cols and share:
-            shares[cov].append((endorsement_cols[e], float(share)))
+    wanted = {coverage_of(p) for p in premium_cols}
+    if isinstance(split, DataFrame):
+        e, c, s = (F.col(x) for x in split.columns[:3])
+        used = (split.select(e.alias("e"), c.alias("c"), s.cast("double").alias("s"))
+                .where(F.col("e").isin(list(endorsement_cols)) & F.col("c").isin(sorted(wanted)))
+                .groupBy("e", "c").agg(F.sum("s").alias("s")).orderBy("c", "e"))
+        split = [tuple(r) for r in used.collect()]          # at most endorsements x coverages
+    shares: dict[tuple[str, str], float] = {}
+    for name, cov, share in split:
+        if name in endorsement_cols and share:
+            shares[cov, name] = shares.get((cov, name), 0.0) + float(share)
     out = {}
     for p in premium_cols:
-        terms = [nz(F.col(c)) * F.lit(s) for c, s in shares.get(coverage_of(p), [])]
+        terms = [nz(F.col(endorsement_cols[n])) * F.lit(s) for (c, n), s in shares.items() if c == coverage_of(p)]
         out[f"{p}_End"] = reduce(add, terms, F.col(p)) if terms else F.col(p)
     return out
 
@@ -104,26 +93,33 @@ def split_endorsements(df: DataFrame, split, endorsement_cols: Mapping[str, str]
     return df.withColumns(endorsement_split_columns(split, endorsement_cols, premium_cols))
 
 
-def chart_factor_columns(chart: DataFrame | Iterable[tuple[str, str, float]]) -> dict[str, Column]:
-    """Rating chart (variable, level, factor) -> one factor expression per variable:
-    a literal map lookup on the level text, 1.0 where the level is not charted."""
-    rows = _bounded_rows(chart, "rating chart") if isinstance(chart, DataFrame) else list(chart)
-    by_var: dict[str, list[tuple[str, float]]] = defaultdict(list)
-    for var, level, factor in rows:
-        by_var[var].append((str(level), float(factor)))
-    out = {}
-    for var, pairs in by_var.items():
-        m = F.create_map(*[x for lv, f in pairs for x in (F.lit(lv), F.lit(f))])
-        out[var] = F.coalesce(F.try_element_at(m, F.col(var).cast("string")), F.lit(1.0))
-    return out
-
-
-def rerate(df: DataFrame, chart, premium_cols: Sequence[str], base_suffix: str = "") -> DataFrame:
-    """Re-rate on a chart: each premium times the product of its variables' factors.
-    Same rows in, same rows out; only the premium columns change."""
-    factors = chart_factor_columns(chart)
-    missing = [v for v in factors if v not in df.columns]
+def chart_table(spark, chart: DataFrame | Iterable[tuple[str, str, float]]) -> DataFrame:
+    """A rating chart as a long table: variable, level (text), factor. A level that a variable has
+    twice raises, naming it."""
+    if not isinstance(chart, DataFrame):
+        chart = spark.createDataFrame([(v, str(lv), float(f)) for v, lv, f in chart],
+                                      "variable string, level string, factor double")
+    v, lv, f = (F.col(c) for c in chart.columns[:3])
+    chart = chart.select(v.cast("string").alias("variable"), lv.cast("string").alias("level"),
+                         f.cast("double").alias("factor"))
+    twice = chart.groupBy("variable", "level").count().where("count > 1").orderBy("variable", "level").first()
+    if twice:
+        raise ValueError(f"rating chart lists level {twice['level']!r} of {twice['variable']!r} {twice['count']} times")
+    return chart
+
+
+def rerate(df: DataFrame, chart, premium_cols: Sequence[str]) -> DataFrame:
+    """Re-rate on a chart of any size: each premium times the product of its variables' factors,
+    1.0 where a level is not charted. One left join per variable on the level's text; same rows in,
+    same rows out, and only the premium columns change."""
+    chart = chart_table(df.sparkSession, chart)
+    names = [r[0] for r in chart.select("variable").distinct().orderBy("variable").collect()]   # columns of the table
+    missing = [v for v in names if v not in df.columns]
     if missing:
         raise ValueError(f"rating chart names variables not on the table: {missing}")
-    total = reduce(mul, factors.values(), F.lit(1.0))
-    return df.withColumns({p: F.col(p + base_suffix) * total for p in premium_cols})
+    out, total = df, F.lit(1.0)
+    for i, v in enumerate(names):
+        one = chart.where(F.col("variable") == v).select(F.col("level").alias(f"_level{i}"), F.col("factor").alias(f"_factor{i}"))
+        out = out.join(one, F.col(v).cast("string") == F.col(f"_level{i}"), "left")
+        total = total * F.coalesce(F.col(f"_factor{i}"), F.lit(1.0))
+    return out.withColumns({p: F.col(p) * total for p in premium_cols}).select(*df.columns)

@@ -2,8 +2,9 @@
 
 A window over ``partitionBy(vehicle)`` puts every row of a vehicle in one task;
 a hot key then becomes one straggler. The default here is the aggregate form
-(partial sums per task, one row per key after the shuffle) joined back, which
-AQE can split when one key is hot. The window form is kept for parity and for
+(partial sums per task, one row per key after the shuffle) joined back; the rows'
+side of that join comes straight from its exchange unless the input is itself a
+join or aggregate on the same keys (write such an input first). The window form is kept for parity and for
 callers who know their keys are small.
 """
 
@@ -24,11 +25,13 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, C
                       method: str = "join") -> DataFrame:
     """Every row gets its group's totals. ``method='window'`` uses one shared
     unordered window (one Window node, one exchange); ``'join'`` aggregates and
-    joins back. The two differ only for null keys, which never match a join."""
+    joins back on null-safe keys, so that null is a group like any other, as in a window."""
     if method == "window":
         w = Window.partitionBy(*keys)
         return df.withColumns({n: F.sum(e).over(w) for n, e in totals.items()})
-    return df.join(group_totals(df, keys, totals), on=list(keys), how="left")
+    t = group_totals(df, keys, totals).withColumnsRenamed({k: f"_group_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys]
+    return df.join(t, on, "left").drop(*[f"_group_{k}" for k in keys])
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -1,8 +1,6 @@
 """DuckDB SQL for every registered query: the independent side of the correctness check.
 
-Each string runs on the driver's pre-registered views. Side joins sum the
-proposed side to one row per key before joining, as the Spark operator does
-(identical to a plain join when keys are unique, bounded when they are not). The book CTEs come from
+Each string runs on the driver's pre-registered views. Side joins are plain left joins. The book CTEs come from
 ``sources.book`` (same input text in both engines); everything after them is
 written here in plain SQL following the original notebooks step by step (one
 aggregate per variable, window + row_number dedup, ...), not from the Spark code.
@@ -138,10 +136,8 @@ def _trx_joined_sql() -> str:
     on = " AND ".join(f"c.{k} = p.{k}" for k in TRX_KEYS)
     cur_e = ", ".join(f"COALESCE(c.Prm_Ern_{s}_OnLvl_Am, 0) AS e_{o}" for s, o in zip(EARN_SRC, EARN_OUT))
     prp_e = ", ".join(f"COALESCE(p.Prm_Ern_{s}_OnLvl_Am, 0) AS pe_{o}" for s, o in zip(EARN_SRC, EARN_OUT))
-    keys = ", ".join(TRX_KEYS)
-    psum = ", ".join(f"SUM(Prm_Ern_{s}_OnLvl_Am) AS Prm_Ern_{s}_OnLvl_Am" for s in EARN_SRC)
     return (f"cur AS ({_mapped('current')}),\n"
-            f" prop AS (SELECT {keys}, {psum} FROM ({_mapped('proposed')}) GROUP BY {keys}),\n"
+            f" prop AS ({_mapped('proposed')}),\n"
             f" j AS (SELECT c.*, {cur_e}, {prp_e}, {_nzsum(CLAIMS, 'c.')} AS clm_tot "
             f"FROM cur c LEFT JOIN prop p ON {on}),\n"
             f" j2 AS (SELECT *, {' + '.join('e_' + o for o in EARN_OUT)} AS e_tot, "
@@ -206,10 +202,8 @@ def _inf_ctes() -> str:
         tot.append(f"SUM(COALESCE(Prm_Trm_AP_SP_CMP_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_AP_SP_COMP_Uncap_Am{sfx}")
         tot.append(f"SUM(COALESCE(Prm_Trm_UI_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_UI_Uncap_Am{sfx}")
         tot.append(f"SUM(COALESCE(Prm_Trm_Dri_Base_Uncap_Am{sfx}, 0)) {win} AS Prm_Trm_Veh_Base_Uncap_Am{sfx}")
-    keys = ", ".join(INF_KEYS)
-    psum = ", ".join(f"SUM({n}) AS {n}" for n in prm)
     return (f"cur AS ({_mapped('current')}),\n"
-            f" prop AS (SELECT {keys}, {psum} FROM ({_mapped('proposed')}) GROUP BY {keys}),\n"
+            f" prop AS ({_mapped('proposed')}),\n"
             f" j AS (SELECT c.*, {prop_cols} FROM cur c LEFT JOIN prop p ON {on}),\n"
             f" w AS (SELECT *, {', '.join(tot)} FROM j),\n"
             f" pr AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "

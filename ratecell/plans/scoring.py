@@ -48,7 +48,7 @@ def score_inforce(inforce: DataFrame, loss_cost: DataFrame, clear: DataFrame,
 
 
 def score_job(inforce: DataFrame, loss_cost: DataFrame, out_table: str,
-              clear_prefix: str = "ibc_clear_", chart=EXAMPLE_CHART,
+              clear_prefix: str = "rate_group_", chart=EXAMPLE_CHART,
               premiums: Sequence[str] = RERATED, fmt: str = "parquet",
               bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
     """The scoring step end to end: latest CLEAR table from the catalog, score,

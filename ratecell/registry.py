@@ -397,7 +397,7 @@ def q_loss_cost_join(spark, sf):
 
 
 def _register_clear(spark, sf):
-    prefix = f"ibc_clear_{_tag(sf)}_"
+    prefix = f"rate_group_{_tag(sf)}_"
     for year in (2024, 2025):
         B.clear_table(spark, sf, year).createOrReplaceTempView(f"{prefix}{year}")
     return CAT.latest_version(spark, prefix)
@@ -480,10 +480,10 @@ def q_union_variables(spark, sf):
 def q_resolve_table(spark, sf):
     b = B.book(spark, sf)
     t = _tag(sf)
-    b.drop(*spec.TRX_PREMIUMS).createOrReplaceTempView(f"trx_ns_prep_onlvl_{t}")
-    b.createOrReplaceTempView(f"trx_ap_prep_onlvl_{t}")
-    _, d = CAT.resolve_table(spark, [f"trx_ns_missing_{t}", f"trx_ns_prep_onlvl_{t}",
-                                     f"trx_ap_prep_onlvl_{t}"],
+    b.drop(*spec.TRX_PREMIUMS).createOrReplaceTempView(f"trx_candidate_b_{t}")
+    b.createOrReplaceTempView(f"trx_candidate_c_{t}")
+    _, d = CAT.resolve_table(spark, [f"trx_candidate_a_{t}", f"trx_candidate_b_{t}",
+                                     f"trx_candidate_c_{t}"],
                              spec.TRX_GROUP + spec.TRX_MEASURES + ["dri_type_cd", "veh_fsa_tx"])
     return CK.row_profile(d)
 
@@ -524,8 +524,8 @@ def q_write_read_exhibit(spark, sf):
     # a folder per call: the returned frame reads these files lazily
     folder = f"{ensure_checkpoint_dir(spark)}/exhibits/{uuid.uuid4().hex}"
     log: list = []
-    SK.write_exhibit(ex, folder, 2569, "dislocation", "TRX_by_Vehicle", dry_run=True, log=log)
-    path = SK.write_exhibit(ex, folder, 2569, "dislocation", "TRX_by_Vehicle", log=log)
+    SK.write_exhibit(ex, folder, 1001, "dislocation", "TRX_by_Vehicle", dry_run=True, log=log)
+    path = SK.write_exhibit(ex, folder, 1001, "dislocation", "TRX_by_Vehicle", log=log)
     return spark.read.parquet(path)
 
 

@@ -7,6 +7,7 @@ settings that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a session without one (a local test) gets a scratch folder.
+    is. Without one, a session of a single machine (master ``local``) gets a scratch folder, and any
+    other raises.
     """
     try:
         sc = spark.sparkContext
@@ -72,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="ratecell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(path)

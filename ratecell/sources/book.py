@@ -60,7 +60,7 @@ _COMMON = [
     ("pol_policy_no", "o_custkey"),
     ("veh_id_no", "o_orderkey"),
     ("dri_id_no", "concat_ws('-', CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), "
-                  "CAST(l_suppkey AS STRING))"),
+                  "CAST(l_suppkey AS STRING), CAST(l_shipdate AS STRING))"),
     ("vehicle_driver_version_key", "concat_ws('-', CAST(l_partkey AS STRING), "
                                    "CAST(l_suppkey AS STRING))"),
     ("pol_eff_dt", "o_orderdate"),
@@ -196,50 +196,15 @@ def book_columns(side: str = "current") -> list[tuple[str, str]]:
     return _COMMON + _side_columns(f)
 
 
-# The book stands in for catalog tables, which a session resolves once: the
-# analysed DataFrames (plans, not data) are kept per session and folder, so
-# building a query does not re-read parquet footers and re-analyse ~170
-# expressions every time. Every action still reads the parquet files.
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:           # Spark Connect
-        app = spark.sessionId if hasattr(spark, "sessionId") else None
-    key = (id(spark), app, sf_dir.rstrip("/"), kind)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six driver tables joined to one row per line item (inner, equi joins;
     nation and region are 25 and 5 rows, so the planner broadcasts them)."""
-    return _memo(spark, sf_dir, "joined", lambda: _joined(spark, sf_dir))
-
-
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The driver's files are one parquet row group each, so a scan has a single
-    non-empty split and everything before the first shuffle would run in one
-    task. Only when the scan has fewer partitions than the cluster's default
-    parallelism is the table repartitioned - round-robin, so no key value (however
-    hot) decides where rows go; large inputs keep their own file splits and pay
-    no shuffle."""
-    try:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            return df.repartition(par)
-    except Exception:       # Spark Connect: keep the scan as it is
-        pass
-    return df
+    return _joined(spark, sf_dir)
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: read_table(spark, sf_dir, n)
          for n in ["lineitem", "orders", "customer", "nation", "region", "part"]}
-    t["lineitem"] = _spread(spark, t["lineitem"])
     return (t["lineitem"]
             .join(t["orders"], t["lineitem"]["l_orderkey"] == t["orders"]["o_orderkey"])
             .join(t["customer"], t["orders"]["o_custkey"] == t["customer"]["c_custkey"])
@@ -260,8 +225,7 @@ def _derived(spark: SparkSession, sf_dir: str, cols: list[tuple[str, str]],
 def book(spark: SparkSession, sf_dir: str, side: str = "current") -> DataFrame:
     """One side of the book as a Spark DataFrame (lazy; Catalyst prunes unused columns)."""
     where = None if side == "current" else f"NOT ({PROPOSED_MISSING})"
-    return _memo(spark, sf_dir, f"book:{side}",
-                 lambda: _derived(spark, sf_dir, book_columns(side), where))
+    return _derived(spark, sf_dir, book_columns(side), where)
 
 
 def book_sql(side: str = "current") -> str:
@@ -297,12 +261,12 @@ _RETENTION = [("pol_policy_no", "o_custkey"),
 
 def closing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closing view: one quote (order) repeated over its vehicle x driver rows."""
-    return _memo(spark, sf_dir, "closing", lambda: _derived(spark, sf_dir, closing_columns()))
+    return _derived(spark, sf_dir, closing_columns())
 
 
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention table: policy key, retained flag and a few raw (unbanded) variables."""
-    return _memo(spark, sf_dir, "retention", lambda: _derived(spark, sf_dir, _RETENTION))
+    return _derived(spark, sf_dir, _RETENTION)
 
 
 def _derived_sql(cols: list[tuple[str, str]]) -> str:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ratecell.operators.filters import in_jurisdiction
 
-MAX_HELPER_ROWS = 10_000
-
 
 def extract_trx(src: DataFrame, columns: Sequence[str] | None, province: str | None,
                 region: str = "AP", products: Iterable[str] = ("ppa",),
@@ -65,11 +63,8 @@ def read_helper(spark: SparkSession, path: str, delimiter: str = ",") -> DataFra
 
 
 def config_columns(helper: DataFrame, column: str = "var_name") -> list[str]:
-    """Column list held in a helper table (bounded: it lists columns, not data)."""
-    rows = helper.select(column).limit(MAX_HELPER_ROWS + 1).collect()
-    if len(rows) > MAX_HELPER_ROWS:
-        raise ValueError(f"helper lists more than {MAX_HELPER_ROWS} names")
-    return [r[0] for r in rows]
+    """Column list held in a helper table, in its order (it lists columns, not data)."""
+    return [r[0] for r in helper.select(column).collect()]
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 def save_table(df: DataFrame, table: str, fmt: str = "parquet",
                partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None,
                sort_by: Sequence[str] = ()) -> None:
-    """Drop-and-overwrite a managed table. ``bucket_by=(n, keys)`` co-locates a
+    """Replace a managed table: the new one is written aside first, so that a failed write leaves the
+    old one and the frame may read the table it replaces. ``bucket_by=(n, keys)`` co-locates a
     later join on those keys (no shuffle when both sides share the bucketing)."""
-    w = df.write.format(fmt).mode("overwrite")
+    aside = f"{table}__new"
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {aside}")
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
@@ -26,8 +29,9 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet",
         w = w.bucketBy(n, *keys)
         if sort_by:
             w = w.sortBy(*sort_by)
+    w.saveAsTable(aside)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    w.saveAsTable(table)
+    df.sparkSession.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def copy_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> None:

@@ -207,14 +207,15 @@ def test_dislocation_summary_matches_single_exhibits(spark):
     assert out["Inf_by_Vehicle"].exceptAll(D.inf_by_vehicle(cur, prop)).count() == 0
 
 
-def test_side_join_never_emits_all_pairs(spark):
+def test_side_join_raises_on_a_repeated_key(spark):
     from ratecell.operators.joins import join_sides
-    a = spark.createDataFrame([("k", 1.0)] * 50, "k string, v double")
-    b = spark.createDataFrame([("k", 2.0)] * 40, "k string, w double")
-    out = join_sides(a, b, ["k"])
-    assert out.count() == 50                      # not 50 x 40
-    assert out.first()["w"] == 80.0
-    assert join_sides(a, b, ["k"], one_per_key=False).count() == 2000
+    a = spark.createDataFrame([("k", 1.0)] * 50 + [("m", 3.0)], "k string, v double")
+    b = spark.createDataFrame([("k", 2.0)] * 2, "k string, w double")
+    with pytest.raises(ValueError, match="proposed side"):
+        join_sides(a, b, ["k"])
+    assert join_sides(a, b, ["k"], check_unique=False).count() == 101      # a plain left join
+    one = join_sides(a, b.limit(1), ["k"])
+    assert one.count() == 51 and one.filter("w IS NULL").count() == 1
 
 
 def test_retention_levels_match_only_when_prepped(spark):

@@ -63,14 +63,16 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters" in plan or "DataFilters" in plan
 
 
-def test_config_tables_become_projections(spark):
-    """Endorsement split and rating chart add no join to the plan."""
-    from ratecell.operators.joins import rerate
+def test_config_tables_in_the_plan(spark):
+    """The chart adds one join per variable, the endorsement split none."""
+    from ratecell import spec
+    from ratecell.operators.joins import rerate, split_endorsements
     from ratecell.plans.scoring import EXAMPLE_CHART, RERATED
     b = B.book(spark, SF0001)
     before = _plan(b).count("Join")
-    after = _plan(rerate(b, EXAMPLE_CHART, RERATED)).count("Join")
-    assert before == after
+    assert _plan(rerate(b, EXAMPLE_CHART, RERATED)).count("Join") == before + 3
+    one = split_endorsements(b, [("e", "BI", 0.5)], {"e": list(spec.ENDORSEMENTS)[0]}, ["Prm_Trm_BI_Uncap_Am"])
+    assert _plan(one).count("Join") == before
 
 
 def test_hot_vehicle_is_pre_reduced_not_windowed(spark):

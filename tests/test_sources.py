@@ -42,10 +42,10 @@ def test_save_table_bucketed_and_copy(spark):
 
 def test_write_exhibits_dry_run(spark, tmp_path):
     ex = {"A": spark.range(3), "B": spark.range(2)}
-    log = sinks.write_exhibits(ex, str(tmp_path), 2569, "dislocation", dry_run=True)
+    log = sinks.write_exhibits(ex, str(tmp_path), 1001, "dislocation", dry_run=True)
     assert [x["written"] for x in log] == [False, False]
     assert not any(tmp_path.iterdir())
-    log = sinks.write_exhibits(ex, str(tmp_path), 2569, "dislocation")
+    log = sinks.write_exhibits(ex, str(tmp_path), 1001, "dislocation")
     assert spark.read.parquet(log[0]["path"]).count() == 3
 
 
@@ -62,7 +62,7 @@ def test_score_job_writes_bucketed_table(spark):
     from ratecell.plans import scoring
     from ratecell.sources.extract import extract_inforce
     for y in (2024, 2025):
-        B.clear_table(spark, SF0001, y).createOrReplaceTempView(f"ibc_clear_{y}")
+        B.clear_table(spark, SF0001, y).createOrReplaceTempView(f"rate_group_{y}")
     inf = extract_inforce(B.book(spark, SF0001), province=None)
     out = scoring.score_job(inf, B.loss_cost_table(spark, SF0001), "inf_scored_cur",
                             bucket_by=(8, spec.INF_UNIQUE_KEYS))

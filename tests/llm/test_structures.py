@@ -200,8 +200,7 @@ def test_warc_equals_sql(spark):
     pages = pages.unionByName(big).unionByName(copies)
     got = sorted(map(tuple, warc.round_trip(pages).collect()))
     con = duckdb.connect()
-    table = pages.toPandas()  # noqa: F841  read by the SQL
-    con.sql("CREATE VIEW pages AS SELECT * FROM table")
+    con.register("pages", pages.toPandas())
     want = sorted(con.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({warc.ORACLE})").fetchall())
     assert got == want
     assert any(r[3] == "revisit" for r in got)

@@ -44,7 +44,7 @@ def digests(text: Column) -> Column:
     lines = F.filter(F.split(text, r"[\r\n]+"), lambda x: F.trim(x) != "")
     units = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > LONG, F.split(x, r"(?<=[.!?])\s+"))
                                   .otherwise(F.array(x))))
-    return F.array_sort(F.array_distinct(F.transform(units, lambda x: F.xxhash64(x))))
+    return F.sort_array(F.array_distinct(F.transform(units, lambda x: F.xxhash64(x))))
 
 
 def _check(d: Column) -> Column:
@@ -79,7 +79,8 @@ def _merge(entries: Column) -> Column:
     def made(s):
         return F.filter(runs(s), lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
 
-    return F.when(F.size(entries) == 0, entries).otherwise(let(F.array_sort(entries), made))
+    # sort_array compares values directly; array_sort would interpret a comparator at each step.
+    return let(F.sort_array(entries), lambda s: F.when(F.size(s) == 0, s).otherwise(made(s)))
 
 
 def table(keys: Column, cells) -> Column:
@@ -90,18 +91,21 @@ def table(keys: Column, cells) -> Column:
 def _round(state: Column, cells: Column) -> Column:
     """Take all pure cells at once."""
     def pure(c):
-        return (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"])
+        return _check(c["key"]) == c["check"]
 
-    def take(found):
-        plus = F.transform(F.filter(found, lambda x: x["n"] == 1), lambda x: x["key"])
-        minus = F.transform(F.filter(found, lambda x: x["n"] == -1), lambda x: x["key"])
-        gone = F.concat(_entries(plus, -1, cells), _entries(minus, 1, cells))
+    def side(n):
+        # Distinct longs go through a hash set; distinct structs would be compared pair by pair.
+        return F.array_distinct(F.transform(F.filter(state["cells"], lambda c: (c["n"] == n) & pure(c)),
+                                            lambda c: c["key"]))
+
+    def take(p):
+        gone = F.concat(_entries(p["plus"], -1, cells), _entries(p["minus"], 1, cells))
         return F.struct(_merge(F.concat(state["cells"], gone)).alias("cells"),
-                        F.concat(state["plus"], plus).alias("plus"), F.concat(state["minus"], minus).alias("minus"),
-                        (F.size(found) == 0).alias("stuck"))
+                        F.concat(state["plus"], p["plus"]).alias("plus"),
+                        F.concat(state["minus"], p["minus"]).alias("minus"),
+                        ((F.size(p["plus"]) == 0) & (F.size(p["minus"]) == 0)).alias("stuck"))
 
-    return let(F.array_distinct(F.transform(F.filter(state["cells"], pure),
-                                            lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))), take)
+    return let(F.struct(side(1).alias("plus"), side(-1).alias("minus")), take)
 
 
 def difference(a: Column, b: Column) -> Column:
@@ -132,9 +136,10 @@ def difference(a: Column, b: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
+    """(a + b - d) / (a + b + d) for two sets of digests, as ``digests`` gives them (ascending)."""
     d = let(difference(a, b), lambda g: F.size(g["plus"]) + F.size(g["minus"])).cast("double")
     both = (F.size(a) + F.size(b)).cast("double")
-    return F.when(F.array_sort(a) == F.array_sort(b), 1.0).otherwise((both - d) / (both + d))
+    return F.when(a == b, 1.0).otherwise((both - d) / (both + d))
 
 
 def fingerprint(keys: Column) -> Column:

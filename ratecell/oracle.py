@@ -14,15 +14,18 @@ from ratecell.sources.book import book_sql, closing_sql, retention_sql
 # lower=-0.05, upper=0.15, step=0.05 (note the float drift of the last two edges).
 RC_EDGES = ["-0.05e0", "0.0e0", "0.05e0", "0.10000000000000002e0", "0.15000000000000002e0"]
 RC_LABELS = ["[-Inf,-0.05)", "[-0.05,0)", "[0,0.05)", "[0.05,0.1)", "[0.1,0.15)", "[0.15,Inf)"]
+# The same for lower=-0.2, upper=0.3, step=0.1.
+WIDE = (["-0.2e0", "-0.1e0", "0.0e0", "0.10000000000000003e0", "0.2e0", "0.3e0"],
+        ["[-Inf,-0.2)", "[-0.2,-0.1)", "[-0.1,0)", "[0,0.1)", "[0.1,0.2)", "[0.2,0.3)", "[0.3,Inf)"])
 
 COMPANY_SQL = ("CASE WHEN pol_uwcompany_cd = 'snic' THEN 'SN' "
                "WHEN pol_uwcompany_cd = 'prim' THEN 'PIC' ELSE 'TDHA' END")
 
 
-def _rc_level(x: str) -> str:
-    parts = [f"WHEN {x} IS NULL THEN '{RC_LABELS[0]}'"]
-    parts += [f"WHEN {x} < {e} THEN '{lab}'" for e, lab in zip(RC_EDGES, RC_LABELS)]
-    return "CASE " + " ".join(parts) + f" ELSE '{RC_LABELS[-1]}' END"
+def _rc_level(x: str, edges=RC_EDGES, labels=RC_LABELS) -> str:
+    parts = [f"WHEN {x} IS NULL THEN '{labels[0]}'"]
+    parts += [f"WHEN {x} < {e} THEN '{lab}'" for e, lab in zip(edges, labels)]
+    return "CASE " + " ".join(parts) + f" ELSE '{labels[-1]}' END"
 
 
 def _nzsum(cols, alias_prefix="") -> str:
@@ -132,7 +135,7 @@ CLAIMS = ["clm_chap_bi_cap500k_am", "clm_chap_pd_am", "clm_chap_dc_am",
           "clm_chap_cmp_am", "clm_chap_ui_am"]
 
 
-def _trx_joined_sql() -> str:
+def _trx_joined_sql(bands=(RC_EDGES, RC_LABELS)) -> str:
     on = " AND ".join(f"c.{k} = p.{k}" for k in TRX_KEYS)
     cur_e = ", ".join(f"COALESCE(c.Prm_Ern_{s}_OnLvl_Am, 0) AS e_{o}" for s, o in zip(EARN_SRC, EARN_OUT))
     prp_e = ", ".join(f"COALESCE(p.Prm_Ern_{s}_OnLvl_Am, 0) AS pe_{o}" for s, o in zip(EARN_SRC, EARN_OUT))
@@ -144,12 +147,12 @@ def _trx_joined_sql() -> str:
             f"{' + '.join('pe_' + o for o in EARN_OUT)} AS pe_tot FROM j),\n"
             f" veh AS (SELECT {', '.join(VEH)}, SUM(e_tot) AS vb, SUM(pe_tot) AS vbp, "
             f"SUM(clm_tot) AS vclm FROM j2 GROUP BY {', '.join(VEH)}),\n"
-            f" vband AS (SELECT *, {_rc_level('rc')} AS Rate_Change_Level FROM "
+            f" vband AS (SELECT *, {_rc_level('rc', *bands)} AS Rate_Change_Level FROM "
             f"(SELECT *, CASE WHEN vb = 0 THEN NULL ELSE vbp / vb - 1 END AS rc FROM veh))")
 
 
-def trx_by_vehicle_sql() -> str:
-    return (f"WITH {_trx_joined_sql()}\n"
+def trx_by_vehicle_sql(bands=(RC_EDGES, RC_LABELS)) -> str:
+    return (f"WITH {_trx_joined_sql(bands)}\n"
             "SELECT Rate_Change_Level, pol_acc_yr_dt, pol_uwcompany_cd, "
             "SUM(vb) AS Prm_Trm_Veh_Base_Uncap_Am_Sum, SUM(vbp) AS Prm_Trm_Veh_Base_Uncap_Am_Prop_Sum, "
             "SUM(vclm) AS clm_veh_chap_tot_am FROM vband "
@@ -167,20 +170,21 @@ def _book_cols() -> list[str]:
     return [n for n, _ in book_columns("current")]
 
 
-def trx_by_driver_sql() -> str:
+def trx_by_driver_sql(bands=(RC_EDGES, RC_LABELS), c_vars=C_VARS, where="TRUE") -> str:
     cols = _book_cols() + [f"e_{o}" for o in EARN_OUT] + [f"pe_{o}" for o in EARN_OUT] + \
         ["clm_tot", "e_tot", "pe_tot", "Rate_Change_Level"]
     src = ("SELECT j2.*, b.Rate_Change_Level FROM j2 LEFT JOIN vband b ON "
            + " AND ".join(f"j2.{k} = b.{k}" for k in VEH))
     dri_alias = ["BI", "PD", "DC", "AB", "UA", "COL", "CMP", "UI"]
-    keys = ["Rate_Change_Level", "pol_acc_yr_dt", "pol_uwcompany_cd"] + C_VARS + ["pol_business_cd"]
+    src += f" WHERE {where}"
+    keys = ["Rate_Change_Level", "pol_acc_yr_dt", "pol_uwcompany_cd", *c_vars, "pol_business_cd"]
     aggs = ([f"SUM(e_{o}) AS Prm_Trm_{a}_Uncap_Am_Sum" for o, a in zip(EARN_OUT, dri_alias)]
             + ["SUM(e_tot) AS Prm_Trm_Base_Uncap_Am_Sum"]
             + [f"SUM(pe_{o}) AS Prm_Trm_{a}_Uncap_Am_Prop_Sum" for o, a in zip(EARN_OUT, dri_alias)]
             + ["SUM(pe_tot) AS Prm_Trm_Dri_Base_Uncap_Am_Prop_Sum"]
             + [f"SUM(COALESCE({c}, 0)) AS {c}" for c in CLAIMS]
             + [f"SUM({_nzsum(CLAIMS)}) AS clm_chap_tot_am"])
-    return (f"WITH {_trx_joined_sql()},\n d AS ({prep_sql(src, cols)})\n"
+    return (f"WITH {_trx_joined_sql(bands)},\n d AS ({prep_sql(src, cols)})\n"
             f"SELECT {', '.join(keys)}, {', '.join(aggs)} FROM d GROUP BY {', '.join(keys)}")
 
 
@@ -218,10 +222,10 @@ def _inf_cols() -> list[str]:
     return _book_cols() + [f"{n}_Prop" for n in prm] + veh
 
 
-def inf_by_vehicle_sql() -> str:
+def inf_by_vehicle_sql(bands=(RC_EDGES, RC_LABELS), c_vars=C_VARS) -> str:
     cols = _inf_cols() + ["rc", "Rate_Change_Level"]
     sums = ["BI", "PD", "DC", "AB", "UA", "AP_COL", "AP_SP_COMP", "UI", "Base"]
-    keys = ["Rate_Change_Level", "pol_uwcompany_cd", "pol_business_cd"] + C_VARS
+    keys = ["Rate_Change_Level", "pol_uwcompany_cd", "pol_business_cd", *c_vars]
     aggs = (["COUNT(*) AS Xpo_Tot",
              "CAST(SUM(CASE WHEN COALESCE(Prm_Trm_Veh_AP_COL_Uncap_Am, 0) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS Xpo_Col",
              "CAST(SUM(CASE WHEN COALESCE(Prm_Trm_Veh_AP_SP_COMP_Uncap_Am, 0) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS Xpo_Cmp"]
@@ -229,7 +233,7 @@ def inf_by_vehicle_sql() -> str:
             + [f"SUM(COALESCE(Prm_Trm_Veh_{c}_Uncap_Am_Prop, 0)) AS Prm_Trm_Veh_{c}_Uncap_Am_Prop_Sum"
                for c in sums])
     return (f"WITH {_inf_ctes()},\n"
-            f" b AS (SELECT *, {_rc_level('rc')} AS Rate_Change_Level FROM "
+            f" b AS (SELECT *, {_rc_level('rc', *bands)} AS Rate_Change_Level FROM "
             f"(SELECT *, CASE WHEN Prm_Trm_Veh_Base_Uncap_Am = 0 THEN NULL "
             f"ELSE Prm_Trm_Veh_Base_Uncap_Am_Prop / Prm_Trm_Veh_Base_Uncap_Am - 1 END AS rc FROM pr)),\n"
             f" d AS ({prep_sql('SELECT * FROM b', cols)})\n"
@@ -380,6 +384,10 @@ def oracle_sql() -> dict[str, str]:
         "dislocation_trx_vehicle": trx_by_vehicle_sql(),
         "dislocation_trx_driver": trx_by_driver_sql(),
         "dislocation_inf_vehicle": inf_by_vehicle_sql(),
+        "dislocation_trx_vehicle_wide": trx_by_vehicle_sql(WIDE),
+        "dislocation_trx_driver_cuts": trx_by_driver_sql(
+            WIDE, ["dri_gender_cd"], "j2.dri_type_cd <> 'OccasionalPrincipal'"),
+        "dislocation_inf_vehicle_cuts": inf_by_vehicle_sql(WIDE, ["dri_gender_cd"]),
         "trx_classification": trx_classification_sql(),
         "inforce_classification": inforce_classification_sql(),
         "elr": elr_exhibit_sql(),

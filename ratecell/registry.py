@@ -59,6 +59,24 @@ def q_dislocation_inf_vehicle(spark, sf):
     return D.inf_by_vehicle(*_sides(spark, sf))
 
 
+# Other edges and one cut variable: each cell sums many rows, and each band many vehicles.
+WIDE_BOUNDS = (-0.2, 0.3, 0.1)
+CUTS = ["dri_gender_cd"]
+
+
+def q_dislocation_trx_vehicle_wide(spark, sf):
+    return D.trx_by_vehicle(*_sides(spark, sf), bounds=WIDE_BOUNDS)
+
+
+def q_dislocation_trx_driver_cuts(spark, sf):
+    return D.trx_by_driver(*_sides(spark, sf), bounds=WIDE_BOUNDS, c_variables=CUTS,
+                           drop_occasional_principal=True)
+
+
+def q_dislocation_inf_vehicle_cuts(spark, sf):
+    return D.inf_by_vehicle(*_sides(spark, sf), bounds=WIDE_BOUNDS, c_variables=CUTS)
+
+
 def q_trx_classification(spark, sf):
     return C.trx_classification(B.book(spark, sf))
 
@@ -533,6 +551,9 @@ QUERIES: dict[str, Query] = {
     "dislocation_trx_vehicle": q_dislocation_trx_vehicle,
     "dislocation_trx_driver": q_dislocation_trx_driver,
     "dislocation_inf_vehicle": q_dislocation_inf_vehicle,
+    "dislocation_trx_vehicle_wide": q_dislocation_trx_vehicle_wide,
+    "dislocation_trx_driver_cuts": q_dislocation_trx_driver_cuts,
+    "dislocation_inf_vehicle_cuts": q_dislocation_inf_vehicle_cuts,
     "trx_classification": q_trx_classification,
     "trx_classification_long": q_trx_classification_long,
     "inforce_classification": q_inforce_classification,

@@ -21,6 +21,16 @@ def in_jurisdiction(df: DataFrame, province: str | Iterable[str] | None,
     return df.filter(F.col(col).isin([p.upper() for p in province]))
 
 
+def chosen_jurisdiction(df: DataFrame, province: str | Iterable[str] | None, where: str,
+                        col: str = "pol_jurisdiction_cd") -> DataFrame:
+    """``in_jurisdiction`` for exhibits whose cells carry no province: none named raises, since
+    a table of several provinces would blend them; ``spec.ALL_PROVINCES`` says to do so."""
+    if province is None:
+        raise ValueError(f"{where}: name the province (or several), or pass spec.ALL_PROVINCES "
+                         "to put all of them into the same cells")
+    return in_jurisdiction(df, None if province == spec.ALL_PROVINCES else province, col)
+
+
 def not_null_all(cols: Iterable[str]) -> Column:
     """``a IS NOT NULL AND b IS NOT NULL AND ...``. Unlike ``na.drop`` this keeps NaN."""
     return reduce(lambda acc, c: acc & F.col(c).isNotNull(), cols, F.lit(True))

@@ -17,7 +17,7 @@ from ratecell import spec
 from ratecell.functions.prep import DEFAULT_PREP, PrepSpec
 from ratecell.functions.scalars import sum_null_safe_int
 from ratecell.operators.aggregates import sum_by
-from ratecell.operators.filters import in_jurisdiction, not_null_all
+from ratecell.operators.filters import chosen_jurisdiction, in_jurisdiction, not_null_all
 from ratecell.operators.schema import require_columns
 from ratecell.plans.common import prep_with_fsa, standard_filters
 
@@ -47,7 +47,7 @@ def inforce_prepared(inf: DataFrame, province: str | None = None, fsa_col: str =
     all-premiums-present predicate here but never applies it; neither do we.)"""
     require_columns(inf, spec.INF_PREMIUMS + spec.INF_RAW_INDICATORS
                     + ["dri_type_cd", "pol_uwcompany_cd", "pol_jurisdiction_cd", fsa_col], "inforce")
-    d = in_jurisdiction(inf, province)
+    d = chosen_jurisdiction(inf, province, "inforce")
     d = d.withColumns({n: sum_null_safe_int(parts) for n, parts in spec.INF_COMPOSITES.items()})
     d = standard_filters(d)
     return prep_with_fsa(d, fsa_col, prep, where="inforce")

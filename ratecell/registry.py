@@ -94,20 +94,20 @@ INF_VARIABLES = ["fsa_tx", "ter_onlvl_ibc_no", "veh_age_nb", "number_veh_in_fami
 
 
 def q_inforce_classification_long(spark, sf):
-    return C.inforce_classification_long(B.book(spark, sf), INF_VARIABLES)
+    return C.inforce_classification_long(B.book(spark, sf), INF_VARIABLES, province=spec.ALL_PROVINCES)
 
 
 def q_inforce_classification(spark, sf):
-    return C.inforce_classification(B.book(spark, sf))
+    return C.inforce_classification(B.book(spark, sf), province=spec.ALL_PROVINCES)
 
 
 def q_elr(spark, sf):
-    return E.elr_exhibit(B.book(spark, sf))
+    return E.elr_exhibit(B.book(spark, sf), province=spec.ALL_PROVINCES)
 
 
 def q_elr_long(spark, sf):
     return E.elr_long(B.book(spark, sf), closing=B.closing(spark, sf),
-                      retention=B.retention(spark, sf))
+                      retention=B.retention(spark, sf), province=spec.ALL_PROVINCES)
 
 
 # --- sources, projections, filters ---------------------------------------------------------
@@ -350,11 +350,12 @@ def q_coverage_check(spark, sf):
 
 
 def q_unknown_share(spark, sf):
-    return CK.unknown_share(CK.coverage_check(C.inforce_prepared(B.book(spark, sf))))
+    return CK.unknown_share(CK.coverage_check(
+        C.inforce_prepared(B.book(spark, sf), province=spec.ALL_PROVINCES)))
 
 
 def q_double_count_guard(spark, sf):
-    d = C.inforce_prepared(B.book(spark, sf))
+    d = C.inforce_prepared(B.book(spark, sf), province=spec.ALL_PROVINCES)
     return CK.double_count_rows(d, list(spec.INF_COMPOSITES))
 
 
@@ -365,7 +366,7 @@ def q_reconcile(spark, sf):
 
 
 def q_thin_cells(spark, sf):
-    ex = C.inforce_classification(B.book(spark, sf))
+    ex = C.inforce_classification(B.book(spark, sf), province=spec.ALL_PROVINCES)
     return CK.thin_cells(ex, "Xpo_BI", 100.0, by=["pol_uwcompany_cd"])
 
 
@@ -491,7 +492,7 @@ def q_row_index(spark, sf):
 
 
 def q_union_variables(spark, sf):
-    return E.elr_long_per_variable(B.book(spark, sf))
+    return E.elr_long_per_variable(B.book(spark, sf), province=spec.ALL_PROVINCES)
 
 
 # --- catalog and sinks --------------------------------------------------------------------------

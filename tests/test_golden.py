@@ -227,8 +227,28 @@ def test_retention_levels_match_only_when_prepped(spark):
         return df.filter((F.col("variable_name") == "veh_age_nb") & (F.col("level_value") == "10+")
                          & (F.col("pol_uwcompany_cd") == "TDHA")).first()
 
-    raw = ten_plus(E.elr_long(inf, retention=ret))
+    raw = ten_plus(E.elr_long(inf, retention=ret, province="*"))
     assert raw["policies_exposed"] is None           # raw ages 11..14 never equal the band '10+'
-    prepped = ten_plus(E.elr_long(inf, retention=ret, prep_retention=True))
+    prepped = ten_plus(E.elr_long(inf, retention=ret, province="*", prep_retention=True))
     assert prepped["policies_exposed"] > 0
     assert 0.0 <= prepped["retention_actual"] <= 1.0
+
+
+def test_blended_provinces_need_a_choice(spark):
+    both = inf_frame(spark).withColumn("pol_jurisdiction_cd", F.lit("NB")).unionByName(inf_frame(spark))
+    for exhibit in (C.inforce_classification, E.elr_exhibit, E.elr_long):
+        with pytest.raises(ValueError, match="province"):
+            exhibit(both)
+
+    def exposure(province):
+        return C.inforce_classification(both, province=province).agg(F.sum("Xpo_BI")).first()[0]
+
+    assert exposure(["NS", "NB"]) == exposure("NS") + exposure("NB") > exposure("NS") > 0
+    assert exposure(spec.ALL_PROVINCES) >= exposure(["NS", "NB"])
+
+
+def test_missing_demand_scores_and_closing_are_caveats(spark):
+    caveats = []
+    E.elr_long(inf_frame(spark), closing=closing_frame(spark), province="NS", caveats=caveats)
+    assert any("demand scores" in c for c in caveats)
+    assert any("closing ratio" in c for c in caveats)

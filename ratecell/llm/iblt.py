@@ -158,9 +158,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def compare_versions(docs: DataFrame) -> DataFrame:
     """Every text, its edited version (the last third replaced by the start of the next document in
     descending doc_id order) and the next document, compared by their fingerprints."""
-    # id and h name a text: doc_id (a null one as the smallest number) and a hash of the text.
-    base = texts(docs).select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-                              F.xxhash64("text").alias("h"), "text")
+    # id and h name a text: doc_id (a null one as the smallest number) and a hash of the text, its
+    # bits turned over if doc_id is null. Both joins read these three columns and no other, so that
+    # they share one shuffle of the texts.
+    least, of_text = F.lit(-(1 << 63)), F.xxhash64("text")
+    base = texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), least).alias("id"),
+                              F.when(F.col("doc_id").isNull(), F.bitwise_not(of_text)).otherwise(of_text).alias("h"),
+                              "text")
+    doc_id = F.when((F.col("id") > least) | (F.col("h") == of_text), F.col("id")).cast(docs.schema["doc_id"].dataType)
     ids = base.select("id", "h", F.length("text").alias("n")).distinct()
     ids = written(global_index(ids, ["id", "h"], "iblt-order", "i"), "iblt-ids")
     total = ids.count()
@@ -168,8 +173,7 @@ def compare_versions(docs: DataFrame) -> DataFrame:
     after = ids.select(F.col("id").alias("for_id"), F.col("h").alias("for_h"),
                        F.pmod(F.col("i") - 1, F.lit(max(total, 1))).alias("i"), F.floor(F.col("n") / 3).alias("k"))
     link = ids.select("id", "h", "i").join(after, "i").drop("i")
-    # Both joins with the texts use the same shuffle of them; only the leads and the digests of the
-    # next texts are shuffled besides (once for repeated rows).
+    # Only the leads and the digests of the next texts are shuffled besides (once for repeated rows).
     start = (base.hint("merge").join(link, ["id", "h"])
              .select(F.col("for_id").alias("id"), F.col("for_h").alias("h"),
                      F.struct(F.substring("text", F.lit(1), F.col("k").cast("int")).alias("lead"),
@@ -177,7 +181,7 @@ def compare_versions(docs: DataFrame) -> DataFrame:
              .groupBy("id", "h").agg(F.first("s").alias("s")).select("id", "h", "s.lead", "s.next"))
     n = F.length("text")
     both = base.hint("merge").join(start, ["id", "h"]).select(
-        "doc_id", n.cast("long").alias("n_chars"), "text",
+        doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), "text",
         F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "lead").alias("edited"), "next")
     got = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                       F.struct(digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"),

@@ -1,6 +1,7 @@
 """Quality classifier, language ID and mixing: held-out accuracy, oracle, edge cases."""
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -91,6 +92,19 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid_hd.identify(unlabelled).collect()} == {"und"}
 
 
+def test_language_stage_drops_unlearned_scripts_and_random_letters(spark, docs):
+    r = random.Random(3)
+    alphabets = ["абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x55D0))),
+                 "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"]
+    foreign = [" ".join("".join(r.choice(x) for _ in range(r.randint(2, 9))) for _ in range(n))
+               for x in alphabets for n in (30, 150) for _ in range(50)]
+    bad = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    kept = {x.doc_id for x in langid_hd.keep_known(docs.unionByName(bad, allowMissingColumns=True)).select("doc_id").collect()}
+    assert not [i for i in range(len(foreign)) if 10**6 + i in kept]
+    clean = {x.doc_id for x in docs.where(langid_hd.held_out()).select("doc_id").collect()}
+    assert clean and clean <= kept
+
+
 def mixed_by_hand(rows):
     """(doc_id, text, source) -> expected (doc_id, size, source_size, target, taken), by sorting."""
     size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]

@@ -12,16 +12,16 @@ to their weighted Jaccard similarity. ``BANDS`` bands of ``ROWS`` samples put si
 common bucket. Two texts are linked if their weighted Jaccard similarity, computed exactly, is at
 least ``THRESHOLD``; classes are the connected components.
 
-* Texts that are equal share one class from the start; one representative goes on.
+* Texts that are equal share one class from the start; each different text is one node.
 * In each bucket every text is compared with the bucket's first text; links join components.
 * Buckets in which several components remain are compared pair by pair inside tasks, between
   components only, in blocks of ``BLOCK`` texts, so that no task holds a large bucket and no pair
   is emitted unless it is a link. Sketches first rule out pairs whose estimate is below
   ``ESTIMATE``; the rest are computed exactly.
 
-Null and empty texts are equal texts: one class, linked to nothing else. Rows that share a doc_id
-share a class with it. Rows with a null doc_id are one class by themselves, with class_id null.
-An empty table gives no rows. Extra columns are ignored.
+Null and empty texts are equal texts: one class, linked to nothing else. In ``classes`` rows that
+share a doc_id share a class, whatever their texts, and a class without any doc_id has class_id null;
+``drop_copies`` goes by the texts alone. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecell.llm.common import WORDS, free_name, mix, ship, slices, texts, token_hashes, written
@@ -350,26 +350,27 @@ def _compare(exact: bool, threshold: float):
     return run
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id of its class) for every row."""
+def _labelled(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, digest of every row; and digest, doc_id (its smallest), root (the component of the
+    links between texts) of every different text."""
     spark = docs.sparkSession
     ship(spark)
     base = texts(docs)
     weight = idf(*document_frequency(docs))
     sk = written(sketches(docs, weight), "nd-sketch")
-    # Equal texts: one representative each. Only digests and ids move.
-    reps = written(sk.groupBy("digest").agg(F.min("doc_id").alias("node")), "nd-reps")
-    member = sk.select("doc_id", "digest").join(reps, "digest")
-    nodes = written(sk.join(reps.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"])
-                    .where("sig IS NOT NULL").dropDuplicates(["doc_id", "digest"])
-                    .select(F.col("doc_id").alias("node"), "digest", "sig", "bands"), "nd-nodes")
-    inband = nodes.select("node", "digest", F.posexplode("bands").alias("band", "key"))
+    # Each different text is a node with a number, fixed by writing it. Only digests and ids move.
+    nodes = written(sk.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"),
+                                             F.first("bands").alias("bands"))
+                    .withColumn("node", F.monotonically_increasing_id()), "nd-nodes")
+    inband = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = inband.groupBy("band", "key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     inband = written(inband.join(buckets, ["band", "key"]), "nd-buckets")
-    # Shingles of the texts that share a bucket with another one.
-    want = inband.select(F.col("node").alias("doc_id"), "digest").distinct()
-    small = (base.withColumn("digest", F.md5(F.col("text").cast("binary"))).join(want, ["doc_id", "digest"])
-             .dropDuplicates(["doc_id", "digest"]))
+    # Shingles of the texts that share a bucket with another one; one row of each text is read. The
+    # hash of doc_id keeps a text's other rows away.
+    want = (inband.select("node").distinct().join(nodes, "node")
+            .select("node", "digest", F.xxhash64("doc_id").alias("of_id")))
+    small = (base.select(F.xxhash64("doc_id").alias("of_id"), F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+             .join(want, ["of_id", "digest"]).dropDuplicates(["of_id", "digest"]))
 
     @F.pandas_udf("binary")
     def blob(text: pd.Series) -> pd.Series:
@@ -378,10 +379,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             out += map(_pack, shingles(col[a:b], weight))
         return pd.Series(out)
 
-    blobs = written(small.select(F.col("doc_id").alias("node"), blob("text").alias("blob")), "nd-shingles")
+    blobs = written(small.select("node", blob("text").alias("blob")), "nd-shingles")
     star = inband.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     linked = written(_links(star, blobs, threshold), "nd-star")
-    # One doc_id with several texts is one node.
     roots = components(linked, "nd-roots")
 
     # Buckets that still hold several components.
@@ -389,30 +389,49 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                    .withColumn("root", F.coalesce("root", "node")), "nd-parts")
     open_ = (part.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo <> hi").select("band", "key", "n"))
-    sig = nodes.groupBy("node").agg(F.first("sig").alias("sig"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    sig = nodes.select("node", "sig")
     cells = _blocks(part.join(sig, "node"), open_)
     keys = ["band", "key", "i", "j"]
     maybe = cells.groupBy(*keys).applyInPandas(
-        _compare(False, threshold), f"band int, key bigint, i int, j int, own int, node {id_type}")
+        _compare(False, threshold), "band int, key bigint, i int, j int, own int, node bigint")
     maybe = written(maybe, "nd-maybe")
     again = maybe.join(part.select("node", "root").distinct(), "node").join(sig, "node").join(blobs, "node")
-    more = again.groupBy(*keys).applyInPandas(_compare(True, threshold), f"a {id_type}, b {id_type}")
+    more = again.groupBy(*keys).applyInPandas(_compare(True, threshold), "a bigint, b bigint")
     final = components(linked.unionByName(written(more, "nd-more")), "nd-classes")
-    final = final.withColumnRenamed("root", "class_id")
-    return (member.join(final, "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id")))
+    label = (nodes.select("node", "digest", "doc_id").join(final, "node", "left")
+             .select("digest", "doc_id", F.coalesce("root", "node").alias("root")))
+    return sk.select("doc_id", "digest"), written(label, "nd-label")
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id of its class) for every row."""
+    rows, label = _labelled(docs, threshold)
+    member = written(rows.join(label.select("digest", "root"), "digest").select("doc_id", "root"), "nd-member")
+    # A doc_id with texts of several components joins them.
+    several = (member.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("root").alias("b"), F.max("root").alias("hi"))
+               .where("b <> hi").select("doc_id", "b"))
+    if not several.isEmpty():
+        joined = components(member.join(several, "doc_id").select(F.col("root").alias("a"), "b"), "nd-shared")
+        member = (member.join(joined.select(F.col("node").alias("root"), F.col("root").alias("low")), "root", "left")
+                  .select("doc_id", F.coalesce("low", "root").alias("root")))
+    names = member.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return member.join(names, "root").select("doc_id", "class_id")
 
 
 def drop_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, columns unchanged: the one whose doc_id names the class. Of rows
-    that repeat this doc_id, the one with the smallest text (then any equal one) stays."""
-    keep = classes(docs, threshold).where("doc_id <=> class_id").select("doc_id").distinct()
-    keep = written(keep, "nd-keep")
-    did = free_name(docs, "_keep")
-    got = docs.join(keep.withColumnRenamed("doc_id", did), F.col("doc_id").eqNullSafe(F.col(did))).drop(did)
-    n = free_name(docs, "_n")
-    twice = docs.groupBy("doc_id").agg(F.count("*").alias(n)).where(F.col(n) > 1)
+    """One row of each class of texts, columns unchanged: the one of the smallest doc_id (null after
+    all others), then of the smallest digest; of rows that repeat both doc_id and text, the smallest."""
+    rows, label = _labelled(docs, threshold)
+    best = label.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("b"))
+    h, x, did, dig = (free_name(docs, n) for n in ("_of_id", "_digest", "_keep", "_text"))
+    keep = written(best.select(F.xxhash64("b.doc_id").alias(h), F.col("b.digest").alias(x), F.col("b.doc_id").alias(did)), "nd-keep")
+    same = F.col("doc_id").eqNullSafe(F.col(did))
+    twice = (rows.select(F.xxhash64("doc_id").alias(h), F.col("digest").alias(x), "doc_id").join(keep, [h, x]).where(same)
+             .groupBy(h, x).agg(F.count("*").alias("n")).where("n > 1").select(h, x))
+    got = (docs.withColumn(h, F.xxhash64("doc_id"))
+           .withColumn(x, F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+           .join(keep, [h, x]).where(same))
     if twice.isEmpty():
-        return got
-    w = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    return got.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
+        return got.select(*docs.columns)
+    # Partial minima, so that a row repeated many times doesn't gather in one task.
+    return got.groupBy(h, x).agg(F.min(F.struct(*docs.columns)).alias(dig)).select(f"{dig}.*")

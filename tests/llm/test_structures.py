@@ -178,6 +178,22 @@ def test_classes_edges_and_hot_groups(spark):
     assert neardup_icws.classes(docs.limit(0)).count() == 0
 
 
+def test_only_copies_are_dropped_whatever_the_ids(spark):
+    r = random.Random(8)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    text = [" ".join(r.choice(vocab) for _ in range(80)) for _ in range(7)]
+    near = text[1] + " " + vocab[0]                   # a near copy of text 1
+    rows = [(None, text[0]), (None, text[1]), (None, text[2]), (None, text[2]), (None, near), (5, text[3]), (5, text[4]),
+            (5, text[4]), (6, text[4]), (7, text[5]), (None, text[5]), (8, None), (9, ""), (None, None), (5, text[6]), (10, near)]
+    docs = spark.createDataFrame([(d, t, "s", i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, node string, n long")
+    kept = neardup_icws.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted(
+        [(None, text[0]), (10, near), (None, text[2]), (5, text[3]), (5, text[4]), (7, text[5]), (8, None), (5, text[6])], key=str)
+    got = {(x.doc_id, x.class_id) for x in neardup_icws.classes(docs).collect()}
+    assert got == {(None, None), (None, 10), (10, 10), (5, 5), (6, 5), (7, 7), (None, 7), (8, 8), (9, 8), (None, 8)}
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     pairs = []

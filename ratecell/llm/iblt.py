@@ -1,8 +1,11 @@
 """Document fingerprints as invertible Bloom lookup tables (IBLT) of paragraph digests, in
 DataFrame functions only.
 
-A paragraph is a line; a line of more than ``LONG`` code points is cut after sentence ends. Its
-digest is a 64-bit hash; a text's paragraphs form a set. An IBLT of c cells in each of three
+A paragraph is a sentence of a line; one of more than ``SHORT`` code points is cut further, after
+words that end in one of the ``ENDS`` (so that the cuts depend on the content, and an edit changes
+only the digests it touches), or after 16 words without one. A Han, kana or hangul character counts
+as a word, other words as one for each 32 characters. Its digest is a 64-bit hash; a text's paragraphs
+form a set. A text of one short sentence remains one paragraph. An IBLT of c cells in each of three
 subtables adds every digest to one cell of each: a count, the XOR of digests and the XOR of the
 digests' check hashes. Only cells that are not empty are kept. The fingerprint is the table of
 ``CELLS`` cells a subtable, as text: equal texts have equal fingerprints.
@@ -28,6 +31,12 @@ from pyspark.sql import functions as F
 from ratecell.llm.common import global_index, texts, written
 
 LONG = 600
+SHORT = 40
+ENDS = "tdal,;:|мйаνςةن的了是在和のにはをがてた다는을를이가，、；："
+_HAN = "\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
+_WORD = rf"(?:[{_HAN}]|[^\s{_HAN}]{{1,32}}+)\s*+"
+_CUT = rf"(?:{_WORD}){{1,16}}?(?<=[{ENDS}]\s{{0,4}})|(?:{_WORD}){{1,16}}+"
+_SENTENCE = r"(?<=[.!?])\s+|(?<=[。．！？｡।؟])"
 CELLS = 8
 TRIES = 9
 SAMPLE = 16
@@ -42,8 +51,11 @@ def let(value: Column, body) -> Column:
 def digests(text: Column) -> Column:
     """Digests of the text's paragraphs: distinct longs, ascending."""
     lines = F.filter(F.split(text, r"[\r\n]+"), lambda x: F.trim(x) != "")
-    units = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > LONG, F.split(x, r"(?<=[.!?])\s+"))
-                                  .otherwise(F.array(x))))
+    # the empty end of a long line whose last sentence is followed by white space counts
+    pieces = F.flatten(F.transform(lines, lambda x: F.filter(
+        F.split(x, _SENTENCE), lambda y: (F.length(x) > LONG) | (F.trim(y) != ""))))
+    units = F.flatten(F.transform(pieces, lambda x: F.when(F.length(x) > SHORT, F.transform(
+        F.regexp_extract_all(x, F.lit(_CUT), F.lit(0)), lambda u: F.rtrim(u))).otherwise(F.array(x))))
     return F.sort_array(F.array_distinct(F.transform(units, lambda x: F.xxhash64(x))))
 
 

@@ -117,6 +117,21 @@ def test_fingerprints(spark):
     assert iblt.compare_versions(docs.where("doc_id = 5")).first().near_next == 1.0
 
 
+def test_fingerprints_of_few_lines_stay_alike(spark):
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdefghilmnorstu") for _ in range(r.randint(2, 8))) for _ in range(500)]
+    run = [r.choice(words) for _ in range(400)]
+    han = "".join(chr(r.randrange(0x4E00, 0x5200)) for _ in range(900))
+    texts_ = [" ".join(run), ", ".join(run), "word " * 500, han, "。".join(han[i:i + 9] for i in range(0, 900, 9)),
+              " ".join(run[:30])]
+    rows = [(t, t[:len(t) - len(t) // 3] + "".join(r.choice("xyz ") for _ in range(len(t) // 3))) for t in texts_]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [x.p for x in df.select(iblt.likeness(iblt.digests(F.col("a")), iblt.digests(F.col("b"))).alias("p")).collect()]
+    assert min(got) > 0, got
+    assert spark.createDataFrame([("z" + texts_[0], texts_[0])], "a string, b string").select(
+        iblt.likeness(iblt.digests(F.col("a")), iblt.digests(F.col("b"))).alias("p")).first().p > 0.9
+
+
 def test_peeling_recovers_both_sides_and_retries(spark):
     rows = [(list(range(n)), list(range(n - c, n + d))) for n, c, d in ((0, 0, 0), (5, 5, 0), (40, 40, 1), (400, 300, 50), (30, 0, 200))]
     df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecell.llm import (ann_mih, bpe_count, bpe_fst, iblt, langid_hd, mixing, neardup_icws, quality_ftrl, token_dac,
-                          warc)
+from ratecell.llm import (ann_mih, bpe_count, bpe_fst, filter_audit, html_lstm, iblt, langid_hd, mixing, neardup_icws,
+                          quality_ftrl, spelling_trie, token_dac, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +56,24 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling_trie.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_main_text(spark, sf_dir):
+    return html_lstm.extract(_table(spark, sf_dir, "pages"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_ann, op2_fingerprints, op3_quality, op4_mixing, op5_language, op6_token_files,
-                                   op7_near_duplicates, op8_bpe, op9_warc, op10_token_counts, pipeline)}
-ORACLES = {"op4_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
+                                   op7_near_duplicates, op8_bpe, op9_warc, op10_token_counts, op11_spelling, op12_main_text,
+                                   op13_filter_audit, pipeline)}
+ORACLES = {"op4_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE, "op13_filter_audit": filter_audit.ORACLE}

@@ -46,7 +46,7 @@ from ratecell.llm.common import MARKS, ship, slices, token_hashes
 SAMPLE_PAGES = 400
 SAMPLE_CHARS = 1 << 16
 SAMPLE_BLOCKS = 40          # paragraphs of a sampled page in one generated layout
-LAYOUTS = 2800              # generated pages in all
+LAYOUTS = 2000              # generated pages in all
 EPOCHS = 6
 PATH_SLOTS, PATH_DIM = 2048, 16
 WORD_SLOTS, WORD_DIM = 4096, 8
@@ -502,6 +502,9 @@ def layout(rng: random.Random, main: list[str], pool: list[str]) -> str:
     top = some(["notice", "header", "menu", "form", "advert", "menu"], 0.45)
     if rng.random() < 0.3:
         top += some(["sidebar", "notice"], 0.5)
+    if rng.random() < 0.12:             # articles that repeat a line or a word, as junk pages do
+        at, line = rng.randint(0, len(main)), words(1, 8)
+        main = main[:at] + ([line] * rng.randint(3, 90) if rng.random() < 0.7 else [" ".join(line.split()[:1] * 30)] * 2) + main[at:]
     # Notices and the like also occur as lines of an article.
     blocks = [block(t if rng.random() < 0.95 else filler(rng.choice(list(PHRASES)))) for t in main]
     if rng.random() < 0.75:

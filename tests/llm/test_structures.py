@@ -75,11 +75,35 @@ def test_probing_finds_every_code_within_the_radius():
 # --- fingerprints -----------------------------------------------------------------------------------
 
 def paragraphs(text):
-    lines = [x for x in re.split(r"[\r\n]+", text) if x.strip(" ")]
+    """The cut rule character by character."""
+    def pieces(text, ends, nexts, zero, most):
+        out, at, i = [], 0, 0
+        while i < len(text) and len(out) < most:
+            end = i
+            while end < len(text) and text[end] in "\r\n":
+                end += 1
+            if end == i and i and text[i - 1] in ends:
+                while end < len(text) and text[end] == " ":
+                    end += 1
+                while end > i and nexts and not (end < len(text) and text[end] in nexts):
+                    end -= 1
+            if end > i or (i > at and text[i - 1] in zero):
+                out.append(text[at:i])
+                at = end
+                i = max(end, i + 1) if end == i else end
+            else:
+                i += 1
+        return out, text[at:]
+
+    head, rest = pieces(text, "d.,;:!?", "", "".join(map(chr, [*range(0x3000, 0x3040), *range(0xFF00, 0xFF20)])), iblt.HEAD_PIECES)
+    if len(head) < iblt.HEAD_PIECES:
+        head, rest = [*head, rest], ""
+    more, last = pieces(rest, ".!?", "AÀ", "。", 10 ** 9)
     out = set()
-    for x in lines:
-        out |= set(re.split(r"(?<=[.!?])\s+", x) if len(x) > iblt.LONG else [x])
-    return out
+    for found, long in ((head, iblt.HEAD_LONG), ([*more, last], iblt.REST_LONG)):
+        for x in found:
+            out |= {x[i:i + long].strip(" ") for i in range(0, len(x), long)}
+    return out - {""}
 
 
 def jaccard(a, b):
@@ -117,6 +141,26 @@ def test_fingerprints(spark):
     assert iblt.compare_versions(docs.where("doc_id = 5")).first().near_next == 1.0
 
 
+def test_fingerprints_of_all_texts_follow_the_cut_rule(spark):
+    """Every text of a table against the brute-force cut: number of digests, likeness to the edited text and
+    to the next; texts over 100 characters keep some likeness to their edited text."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts_ = {r.doc_id: r.text or "" for r in docs.collect()}
+    order = sorted(texts_, reverse=True)
+    got, none = iblt.compare_versions(docs).collect(), []
+    assert len(got) == len(texts_)
+    for r in got:
+        t, nxt = texts_[r.doc_id], texts_[order[(order.index(r.doc_id) + 1) % len(order)]]
+        edited = t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]
+        own = paragraphs(t)
+        assert int(r.fingerprint.split("-")[0]) == len(own)
+        assert r.near_edited == pytest.approx(jaccard(own, paragraphs(edited)))
+        assert r.near_next == pytest.approx(jaccard(own, paragraphs(nxt)))
+        if len(t) > 100 and not r.near_edited:
+            none.append(r.doc_id)
+    assert len(none) <= len(got) // 100
+
+
 def test_fingerprints_of_few_lines_stay_alike(spark):
     r = random.Random(6)
     words = ["".join(r.choice("abcdefghilmnorstu") for _ in range(r.randint(2, 8))) for _ in range(500)]
@@ -134,6 +178,8 @@ def test_fingerprints_of_few_lines_stay_alike(spark):
 
 def test_peeling_recovers_both_sides_and_retries(spark):
     rows = [(list(range(n)), list(range(n - c, n + d))) for n, c, d in ((0, 0, 0), (5, 5, 0), (40, 40, 1), (400, 300, 50), (30, 0, 200))]
+    # sets whose smallest digests agree: the first table is far too small
+    rows.append(([*range(16), *range(1000, 1400)], [*range(16), *range(2000, 2400)]))
     df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
     got = df.select("a", "b", iblt.difference(F.col("a"), F.col("b")).alias("d")).collect()
     for r in got:

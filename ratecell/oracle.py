@@ -37,10 +37,14 @@ def _mapped(side: str) -> str:
 
 
 # --- classification prep in SQL -------------------------------------------------------
+# FIXED values: lower edges of the price bands.
+PRICE_EDGES = [10000, 15000, 20000, 25000, 30000, 35000, 40000, 45000, 50000, 55000, 60000, 65000, 70000, 75000, 80000,
+               85000, 90000, 95000, 100000, 125000, 150000, 200000]
+
+
 def _band_price(x: str) -> str:
-    edges = [0, 10000] + [15000 + 5000 * i for i in range(18)] + [125000, 150000, 200000]
     s = f"CASE WHEN {x} IS NULL OR {x} <= 0 THEN 'Not Available' "
-    for lo, hi in zip(edges, edges[1:]):
+    for lo, hi in zip([0, *PRICE_EDGES], PRICE_EDGES):
         s += f"WHEN {x} < {hi} THEN '{lo}-{hi - 1}' "
     return s + "ELSE '200000+' END"
 

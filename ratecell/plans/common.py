@@ -18,11 +18,12 @@ def map_company(df: DataFrame, col: str = "pol_uwcompany_cd") -> DataFrame:
 
 def with_fsa(df: DataFrame, fsa_col: str = "veh_fsa_tx", out: str = "fsa_tx",
              where: str = "input") -> DataFrame:
-    """Normalised FSA as ``out``; a clear error if the raw column is absent."""
-    if fsa_col not in df.columns:
-        raise ValueError(f"{where}: {fsa_col!r} is not on the table. Available fsa columns: "
-                         f"{[c for c in df.columns if 'fsa' in c.lower()]}")
-    return df.withColumn(out, fsa_normalize(fsa_col))
+    """The area code of ``fsa_col``, normalised, as ``out``. A table without that column raises and names
+    the columns that may be meant."""
+    if fsa_col in df.columns:
+        return df.withColumn(out, fsa_normalize(fsa_col))
+    near = sorted(c for c in df.columns if "fsa" in c.lower()) or "none"
+    raise ValueError(f"{where} has no column {fsa_col!r} to cut by; similar columns: {near}")
 
 
 def prep_with_fsa(df: DataFrame, fsa_col: str = "veh_fsa_tx", prep: PrepSpec = DEFAULT_PREP,

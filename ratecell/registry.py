@@ -331,7 +331,7 @@ def q_weighted_mean(spark, sf):
 
 def q_closing_ratio(spark, sf):
     from ratecell.operators.aggregates import distinct_flagged_by
-    c = E.closing_prepared(B.closing(spark, sf))
+    c = E.closing_prepared(B.closing(spark, sf), spec.ALL_PROVINCES)
     g = distinct_flagged_by(c, ["pol_uwcompany_cd", "veh_fsa_tx"], "pol_quote_no", "clo_bound_in",
                             "quotes", "bound")
     return g.withColumn("closing_ratio", SC.ratio_or_null("bound", "quotes"))
@@ -339,7 +339,7 @@ def q_closing_ratio(spark, sf):
 
 def q_retention_ratio(spark, sf):
     from ratecell.operators.aggregates import distinct_flagged_by
-    r = E.retention_prepared(B.retention(spark, sf))
+    r = E.retention_prepared(B.retention(spark, sf), spec.ALL_PROVINCES)
     g = distinct_flagged_by(r, ["pol_uwcompany_cd", "dri_gender_cd"], "pol_policy_no", "retained_in",
                             "policies_exposed", "policies_retained")
     return g.withColumn("retention_actual", SC.ratio_or_null("policies_retained", "policies_exposed"))
@@ -510,11 +510,11 @@ def q_resolve_table(spark, sf):
 def q_optional_source(spark, sf):
     from ratecell.operators.aggregates import distinct_flagged_by
     caveats: list[str] = []
-    B.closing(spark, sf).createOrReplaceTempView(f"closing_byvehdri_{_tag(sf)}")
-    clo = CAT.optional_table(spark, f"closing_byvehdri_{_tag(sf)}",
+    B.closing(spark, sf).createOrReplaceTempView(f"closing_rows_{_tag(sf)}")
+    clo = CAT.optional_table(spark, f"closing_rows_{_tag(sf)}",
                              ["pol_quote_no", "clo_bound_in", "pol_jurisdiction_cd"], caveats)
     ret = CAT.optional_table(spark, "retention_missing", ["retained_in"], caveats)
-    c = E.closing_prepared(clo)
+    c = E.closing_prepared(clo, spec.ALL_PROVINCES)
     g = distinct_flagged_by(c, ["pol_uwcompany_cd"], "pol_quote_no", "clo_bound_in", "quotes", "bound")
     g = g.withColumn("closing_ratio", SC.ratio_or_null("bound", "quotes"))
     if ret is None:

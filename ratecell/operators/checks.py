@@ -9,8 +9,9 @@ no collect of data rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ratecell import spec
@@ -134,3 +135,90 @@ def jurisdictions_in(df: DataFrame, col: str = "pol_jurisdiction_cd") -> DataFra
     """Distinct jurisdictions and whether there is exactly one."""
     return (df.agg(F.count_distinct(F.col(col)).alias("jurisdictions"))
             .withColumn("single_jurisdiction", F.col("jurisdictions") == 1))
+
+
+# --- checks that cost no run of their own -----------------------------------------------------------
+
+def same_row_set(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The merge test on rows: counts, and whether both frames hold the same multiset of keys. Each side is
+    digested by two sums of 64-bit hashes of the key columns (nulls included), which no order changes; a row
+    swapped for another differs even where the counts agree."""
+    def tagged(d, side):
+        k = [F.col(c) for c in keys]
+        # a null and the hash's seed look alike, so the nulls' places are hashed too
+        nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in k])
+        return d.select(F.lit(side).alias("_s"), F.xxhash64(nulls, *k).cast("decimal(20,0)").alias("_h"),
+                        F.xxhash64(*reversed(k), nulls).cast("decimal(20,0)").alias("_g"))
+
+    def of(side, c):
+        return F.coalesce(F.sum(F.when(F.col("_s") == side, F.col(c))), F.lit(0).cast("decimal(38,0)"))
+
+    t = tagged(a, 1).unionByName(tagged(b, 2))
+    one = t.agg(F.count_if(F.col("_s") == 1).alias("left_rows"), F.count_if(F.col("_s") == 2).alias("right_rows"),
+                *[of(s, c).alias(f"{c}{s}") for s in (1, 2) for c in ("_h", "_g")])
+    return one.select("left_rows", "right_rows", (F.col("left_rows") == F.col("right_rows")).alias("same"),
+                      ((F.col("left_rows") == F.col("right_rows")) & (F.col("_h1") == F.col("_h2"))
+                       & (F.col("_g1") == F.col("_g2"))).alias("same_keys"))
+
+
+def reconcile_one_pass(rows: DataFrame, keys: Sequence[str], level: str, measures: Sequence[str],
+                       tolerance: float = 1e-6) -> DataFrame:
+    """``reconcile`` of the exhibit by ``keys`` and ``level`` with the one by ``keys``, both made from one scan:
+    grouping sets give the cells and the subtotals, and the grouping id tells a subtotal from the cell of a
+    null level."""
+    both = (rows.select(*keys, level, *measures)
+            .groupingSets([[*[F.col(k) for k in keys], F.col(level)], [F.col(k) for k in keys]], *keys, level)
+            .agg(F.grouping_id().alias("_gid"), *[F.sum(m).alias(m) for m in measures]))
+    fine = F.col("_gid") == 0
+    out = both.groupBy(*keys).agg(*[F.sum(F.when(fine, F.col(m))).alias(f"{m}_fine") for m in measures],
+                                  *[F.max(F.when(~fine, F.col(m))).alias(f"{m}_coarse") for m in measures])
+    diff = {f"{m}_diff": F.coalesce(F.col(f"{m}_fine"), F.lit(0.0)) - F.coalesce(F.col(f"{m}_coarse"), F.lit(0.0))
+            for m in measures}
+    out = out.withColumns(diff)
+    return out.withColumn("tied", reduce(lambda a, c: a & (F.abs(F.col(c)) <= tolerance), diff, F.lit(True)))
+
+
+class Guard:
+    """Checks that ride on the job that writes an exhibit: ``watch`` adds counts to the rows on their way
+    (``DataFrame.observe``; nothing is scanned for them), and ``check``, after the job, raises or reports.
+
+    Counted: rows, rows of the unknown cell, rows whose composites double count, nulls of operands, and
+    the smallest and largest jurisdiction. ``check`` raises for double counting and, if ``single`` is set,
+    for more than one jurisdiction; a share of unknown cells above ``threshold`` is a warning.
+    """
+
+    def __init__(self, name: str, cell: str = "fsa_tx", composites: Sequence[str] = (), operands: Sequence[str] = (),
+                 jurisdiction: str = "pol_jurisdiction_cd", single: bool = False, threshold: float = 0.01,
+                 unknown: str = spec.UNKNOWN_FSA):
+        self.name, self.cell, self.composites, self.operands = name, cell, list(composites), list(operands)
+        self.jurisdiction, self.single, self.threshold, self.unknown = jurisdiction, single, threshold, unknown
+        self.seen = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, counted when it runs. One guard watches one run: watching again starts anew."""
+        self.seen = Observation()
+        twice = reduce(lambda a, c: a | (F.col(c) > 1), self.composites, F.lit(False))
+        return df.observe(
+            self.seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(self.cell) == self.unknown).alias("unknown"),
+            F.count_if(F.coalesce(twice, F.lit(False))).alias("double_counted_rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in self.operands],
+            F.min(self.jurisdiction).alias("first_jurisdiction"), F.max(self.jurisdiction).alias("last_jurisdiction"))
+
+    def report(self) -> dict:
+        """The counts of the run that has been watched, with the unknown share and warnings."""
+        if self.seen is None:
+            raise ValueError(f"{self.name}: nothing has been watched")
+        got = dict(self.seen.get)
+        share = got["unknown"] / got["rows"] if got["rows"] else None
+        one = got["rows"] == 0 or got["first_jurisdiction"] == got["last_jurisdiction"]
+        return got | {"unknown_share": share, "unknown_warning": bool(share and share > self.threshold),
+                      "single_jurisdiction": one}
+
+    def check(self) -> dict:
+        got = self.report()
+        if got["double_counted_rows"]:
+            raise AssertionError(f"{self.name}: {got['double_counted_rows']:,} rows double count AP exposure")
+        if self.single and not got["single_jurisdiction"]:
+            raise AssertionError(f"{self.name}: jurisdictions from {got['first_jurisdiction']} to "
+                                 f"{got['last_jurisdiction']} in one exhibit")
+        return got

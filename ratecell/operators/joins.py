@@ -2,9 +2,10 @@
 
 Scale notes
 -----------
-* Side joins (current ⟕ proposed) are big-to-big plain left joins on keys that are unique on the
-  proposed side; a repeated key raises before the join. Nothing stands between the exchanges and the
-  join, so AQE's skew join can split a hot partition.
+* Side joins (current ⟕ proposed) are big-to-big left joins on keys that are unique on the proposed
+  side. A repeated key raises: in the join's own run (``check_unique="in_flight"``, what the exhibits
+  use), by numbering the proposed rows of each key on the partitioning and order that the join needs
+  anyway, or in a job before it (``True``).
 * Lookup joins (loss costs, CLEAR groups, vehicle bands) are many-to-one; the
   planner broadcasts the right side only when its measured size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and AQE's skew-join splits a hot key
@@ -16,11 +17,12 @@ Scale notes
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecell.functions.scalars import nz
@@ -29,20 +31,34 @@ from ratecell.operators.schema import require_columns
 
 
 def join_sides(current: DataFrame, proposed: DataFrame, keys: Sequence[str],
-               how: str = "left", check_unique: bool = True) -> DataFrame:
+               how: str = "left", check_unique: bool | str = True) -> DataFrame:
     """``current ⟕ proposed`` on ``keys``; unmatched proposed values stay null.
 
-    The proposed side's keys must be unique: a job over its key columns raises if one repeats, as
-    each current row would then appear once per match. ``check_unique=False`` leaves that check out
-    for tables that were checked when they were written.
+    The proposed side's keys must be unique, as each current row would else appear once per match.
+    ``check_unique=True`` raises at once, after a job over the proposed side's keys; ``"in_flight"``
+    raises when the join runs, which then reads that side once; ``False`` leaves the check out, for
+    tables that were checked when they were written.
     """
     require_columns(current, keys, "current side")
     require_columns(proposed, keys, "proposed side")
-    if check_unique:
+    if check_unique == "in_flight":
+        proposed = raise_on_repeats(proposed, keys, "proposed side")
+    elif check_unique:
         assert_unique(proposed, keys, "proposed side")
     return current.join(proposed, on=list(keys), how=how)
 
 
+def raise_on_repeats(df: DataFrame, keys: Sequence[str], where: str) -> DataFrame:
+    """``df``, whose job raises at the second row of a key. The window's partitioning and order are
+    those of a sort-merge join on the same keys, so that a join adds no exchange and no sort to it."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    # Null keys match nothing, so they may repeat.
+    text = F.concat(F.lit(f"{where}: a key repeats on {list(keys)}: "), F.to_json(F.struct(*keys)))
+    fails = (F.col("_nth") > 1) & reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
+    return (df.withColumn("_nth", nth).where(F.when(fails, F.raise_error(text).cast("boolean")).otherwise(True))
+            .drop("_nth"))
+
+
 def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Many-to-one left join of a per-key lookup (band, loss cost, CLEAR group)."""
     return rows.join(lookup, on=list(keys), how="left")
@@ -93,33 +109,66 @@ def split_endorsements(df: DataFrame, split, endorsement_cols: Mapping[str, str]
     return df.withColumns(endorsement_split_columns(split, endorsement_cols, premium_cols))
 
 
-def chart_table(spark, chart: DataFrame | Iterable[tuple[str, str, float]]) -> DataFrame:
-    """A rating chart as a long table: variable, level (text), factor. A level that a variable has
-    twice raises, naming it."""
+def chart_table(spark, chart: DataFrame | Iterable[tuple[str, str, float]]) -> tuple[DataFrame, list[str]]:
+    """A rating chart as a long table (variable, level as text, factor) and the variables it has. A level
+    that a variable has twice raises, naming it: for rows given as a list at once, for a table after one
+    job over it, which also finds the variables."""
     if not isinstance(chart, DataFrame):
-        chart = spark.createDataFrame([(v, str(lv), float(f)) for v, lv, f in chart],
-                                      "variable string, level string, factor double")
-    v, lv, f = (F.col(c) for c in chart.columns[:3])
-    chart = chart.select(v.cast("string").alias("variable"), lv.cast("string").alias("level"),
-                         f.cast("double").alias("factor"))
-    twice = chart.groupBy("variable", "level").count().where("count > 1").orderBy("variable", "level").first()
+        rows = [(v, str(lv), float(f)) for v, lv, f in chart]
+        seen = Counter((v, lv) for v, lv, _ in rows)
+        twice = sorted((*k, n) for k, n in seen.items() if n > 1)
+        variables = sorted({v for v, _, _ in rows})
+        chart = spark.createDataFrame(rows, "variable string, level string, factor double")
+    else:
+        v, lv, f = (F.col(c) for c in chart.columns[:3])
+        chart = chart.select(v.cast("string").alias("variable"), lv.cast("string").alias("level"),
+                             f.cast("double").alias("factor"))
+        found = (chart.groupBy("variable", "level").count().groupBy("variable")
+                 .agg(F.min(F.when(F.col("count") > 1, F.struct("level", "count"))).alias("twice")).collect())
+        twice = sorted((r["variable"], r["twice"]["level"], r["twice"]["count"]) for r in found if r["twice"])
+        variables = sorted(r["variable"] for r in found)           # columns of the table to re-rate
     if twice:
-        raise ValueError(f"rating chart lists level {twice['level']!r} of {twice['variable']!r} {twice['count']} times")
-    return chart
+        v, lv, n = twice[0]
+        raise ValueError(f"rating chart lists level {lv!r} of {v!r} {n} times")
+    return chart, variables
+
+
+def _charted(df: DataFrame, variables: Iterable[str]) -> None:
+    if missing := [v for v in variables if v not in df.columns]:
+        raise ValueError(f"rating chart names variables not on the table: {missing}")
 
 
 def rerate(df: DataFrame, chart, premium_cols: Sequence[str]) -> DataFrame:
     """Re-rate on a chart of any size: each premium times the product of its variables' factors,
     1.0 where a level is not charted. One left join per variable on the level's text; same rows in,
     same rows out, and only the premium columns change."""
-    chart = chart_table(df.sparkSession, chart)
-    names = [r[0] for r in chart.select("variable").distinct().orderBy("variable").collect()]   # columns of the table
-    missing = [v for v in names if v not in df.columns]
-    if missing:
-        raise ValueError(f"rating chart names variables not on the table: {missing}")
+    chart, names = chart_table(df.sparkSession, chart)
+    _charted(df, names)
     out, total = df, F.lit(1.0)
     for i, v in enumerate(names):
         one = chart.where(F.col("variable") == v).select(F.col("level").alias(f"_level{i}"), F.col("factor").alias(f"_factor{i}"))
         out = out.join(one, F.col(v).cast("string") == F.col(f"_level{i}"), "left")
         total = total * F.coalesce(F.col(f"_factor{i}"), F.lit(1.0))
     return out.withColumns({p: F.col(p) * total for p in premium_cols}).select(*df.columns)
+
+
+def rerate_charts(df: DataFrame, charts: Mapping[str, object], premium_cols: Sequence[str],
+                  chart_col: str = "chart") -> DataFrame:
+    """Re-rate on several charts in one pass: each row once per chart, with the chart's name in
+    ``chart_col`` and its premiums. The charts become one long table; each variable that any of them
+    has is one left join that brings all charts' factors, 1.0 where a chart lacks the level."""
+    parts, names = [], set()
+    for name, chart in charts.items():
+        table, variables = chart_table(df.sparkSession, chart)
+        parts.append(table.withColumn("chart", F.lit(name)))
+        names.update(variables)
+    _charted(df, sorted(names))
+    long = reduce(DataFrame.unionByName, parts)
+    out, totals = df, {name: F.lit(1.0) for name in charts}
+    for i, v in enumerate(sorted(names)):
+        factors = [F.max(F.when(F.col("chart") == n, F.col("factor"))).alias(f"_f{i}_{k}") for k, n in enumerate(charts)]
+        one = long.where(F.col("variable") == v).groupBy(F.col("level").alias(f"_level{i}")).agg(*factors)
+        out = out.join(one, F.col(v).cast("string") == F.col(f"_level{i}"), "left")
+        totals = {n: t * F.coalesce(F.col(f"_f{i}_{k}"), F.lit(1.0)) for k, (n, t) in enumerate(totals.items())}
+    rated = [F.struct(F.lit(n).alias(chart_col), *[(F.col(p) * t).alias(p) for p in premium_cols]) for n, t in totals.items()]
+    return out.select(*[c for c in df.columns if c not in premium_cols], F.inline(F.array(*rated)))

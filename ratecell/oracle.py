@@ -312,12 +312,15 @@ LONG_VARS = ["dri_type_cd", "dri_gender_cd", "dri_yrs_licensed_au_nb", "rat_km_a
              "rat_km_work_nb", "rat_km_business_nb", "number_veh_in_family", "number_au_mh",
              "veh_dri_onp_nb", "veh_age_nb", "veh_vicc_price_am", "veh_rg_ab_no", "veh_rg_dc_no",
              "veh_rg_col_no", "veh_rg_cmp_no", "cov_col_ded_am", "clt_p_holder_credit_score_no",
-             "exp_minor_03yrs_nb", "ter_onlvl_ibc_no", "veh_fsa_tx",
+             "exp_minor_03yrs_nb", "cov_cmp_ded_am", "cov_tpl_limit_am", "exp_col_af_10yrs_nb",
+             "exp_col_af_10yrs_avg_nb", "exp_minor_03yrs_avg_nb", "exp_major_03yrs_nb", "exp_criminal_03yrs_nb",
+             "exp_susp_minus_03yrs_nb", "exp_susp_plus_03yrs_nb", "exp_canc_nopay_03yrs_nb",
+             "ter_onlvl_ibc_no", "veh_fsa_tx",
              "dri_type_cd_x_number_au_mh_x_veh_dri_onp_nb", "dri_type_cd_x_rat_km_work_nb",
              "dri_type_cd_x_rat_km_business_nb", "dri_type_cd_x_rat_km_annual_nb",
              "dri_yrs_licensed_au_nb_x_dri_gender_cd"]
 RET_VARS = ["dri_gender_cd", "veh_age_nb", "ter_onlvl_ibc_no"]
-CLO_VARS = [v for v in LONG_VARS if v != "cov_col_ded_am"]   # the closing view has no deductible
+CLO_VARS = [v for v in LONG_VARS if not v.startswith("cov_")]   # the closing view has no coverages
 FCS = [("closing", "rat_fulldemand_closing_fc"), ("ft_retention", "rat_fulldemand_ft_retention_fc"),
        ("mt_retention", "rat_fulldemand_mt_retention_fc")]
 

@@ -32,11 +32,14 @@ def extract_trx():
     return ("SELECT veh_id_no, dri_id_no, pol_jurisdiction_cd, veh_product_cd, pol_commercial_in, "
             f"trx_offset_onset_cd, Prm_Ern_BI_OnLvl_End_Am FROM {BC} WHERE pol_region_cd = 'AP' "
             "AND veh_product_cd IN ('ppa') AND pol_commercial_in = 0 "
-            "AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA'")
+            "AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA' "
+            "AND dat_as_of_dt = '2025-06-30' AND dat_year_type_tx = 'AY'")
 
 
 INF_EXTRACT_WHERE = ("pol_region_cd = 'AP' AND veh_product_cd IN ('ppa', 'motor_home') "
-                     "AND pol_commercial_in = 0")
+                     "AND pol_commercial_in = 0 AND dat_as_of_dt = '2025-06-30'")
+TRX_EXTRACT_WHERE = ("pol_region_cd = 'AP' AND veh_product_cd = 'ppa' AND pol_commercial_in = 0 "
+                     "AND trx_offset_onset_cd IS NOT NULL AND dat_as_of_dt = '2025-06-30' AND dat_year_type_tx = 'AY'")
 
 
 def extract_inforce():
@@ -170,12 +173,12 @@ XPO = {"BI": "xpo_ern_chap_bi_nb", "PD": "xpo_ern_chap_pd_nb", "DC": "xpo_ern_ch
        "AP_COL": "x_ap_col", "AP_SP_CMP": "x_ap_sp_cmp"}
 
 
-def _earn_ctes() -> str:
+def _earn_ctes(source: str = BC) -> str:
     s1 = ("SELECT *, CASE WHEN cov_ap_in = 1 THEN 0 ELSE Prm_Trm_COL_Uncap_Am END AS o_col, "
           "CASE WHEN cov_ap_in = 1 THEN 0 ELSE Prm_Trm_CMP_Uncap_Am END AS o_cmp, "
           "CASE WHEN cov_ap_in = 1 THEN 0 ELSE xpo_ern_chap_col_nb END AS o_xcol, "
           "CASE WHEN cov_ap_in = 1 THEN 0 ELSE xpo_ern_chap_cmp_nb END AS o_xcmp "
-          f"FROM {BC}")
+          f"FROM {source}")
     s2 = ("SELECT *, Coll_Portion_of_AP + o_col AS b_AP_COL, "
           "Prm_Trm_SP_Uncap_Am + Comp_Portion_of_AP + o_cmp AS b_AP_SP_CMP, "
           "xpo_ern_chap_ap_nb + o_xcol AS x_ap_col, "
@@ -323,14 +326,14 @@ def null_operands():
 def single_jurisdiction():
     return ("SELECT COUNT(DISTINCT pol_jurisdiction_cd) AS jurisdictions, "
             "(COUNT(DISTINCT pol_jurisdiction_cd) = 1) AS single_jurisdiction FROM "
-            f"{BC} WHERE pol_region_cd = 'AP' AND veh_product_cd IN ('ppa') AND pol_commercial_in = 0 "
-            "AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA'")
+            f"{BC} WHERE {TRX_EXTRACT_WHERE} AND pol_jurisdiction_cd = 'AMERICA'")
 
 
 def side_balance():
-    return (f"WITH c AS (SELECT COUNT(*) AS n FROM {BC}), p AS (SELECT COUNT(*) AS n FROM {BP})\n"
+    return (f"WITH c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE {INF_EXTRACT_WHERE}) AS i FROM {BC}), "
+            f"p AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE {INF_EXTRACT_WHERE}) AS i FROM {BP})\n"
             "SELECT 'trx' AS dataset, c.n AS current_rows, p.n AS proposed_rows, c.n = p.n AS balanced "
-            "FROM c, p UNION ALL SELECT 'inf', c.n, c.n, true FROM c")
+            "FROM c, p UNION ALL SELECT 'inf', c.i, p.i, c.i = p.i FROM c, p")
 
 
 # --- joins -------------------------------------------------------------------------------------------------
@@ -478,6 +481,85 @@ def inforce_classification_long():
     return f"WITH p AS ({src})\n" + " UNION ALL ".join(parts)
 
 
+# --- one-pass checks and scoring on charts ----------------------------------------------------------------
+def row_index_ordered():
+    return f"SELECT veh_id_no, dri_id_no, ROW_NUMBER() OVER (ORDER BY veh_id_no, dri_id_no) AS index_id FROM {BC}"
+
+
+def merge_test_rows():
+    keys = "pol_policy_no, veh_id_no, dri_id_no, pol_eff_dt"
+    swapped = f"SELECT CASE WHEN veh_id_no % 1000 = 7 THEN -1 ELSE pol_policy_no END AS pol_policy_no, veh_id_no, dri_id_no, pol_eff_dt FROM i"
+
+    def one(name, src):
+        gone = f"SELECT COUNT(*) FROM (SELECT {keys} FROM i EXCEPT ALL {src})"
+        more = f"SELECT COUNT(*) FROM ({src} EXCEPT ALL SELECT {keys} FROM i)"
+        return (f"SELECT '{name}' AS compared, (SELECT COUNT(*) FROM i) AS left_rows, (SELECT COUNT(*) FROM ({src})) AS right_rows, "
+                f"(SELECT COUNT(*) FROM i) = (SELECT COUNT(*) FROM ({src})) AS same, ({gone}) = 0 AND ({more}) = 0 AS same_keys")
+
+    return (f"WITH i AS (SELECT * FROM {BC} WHERE {INF_EXTRACT_WHERE}), s AS ({_scored_sql()})\n"
+            + one("scored", f"SELECT {keys} FROM s") + " UNION ALL " + one("swapped", swapped))
+
+
+def exhibit_guards():
+    def one(name, double):
+        return (f"SELECT '{name}' AS exhibit, COUNT(*) AS rows, COUNT(*) FILTER (WHERE fsa_tx = 'UNKNOWN') AS unknown, "
+                f"COUNT(*) FILTER (WHERE {double}) AS double_counted_rows, "
+                "COUNT(*) FILTER (WHERE rat_km_annual_nb IS NULL) AS km_nulls, "
+                "COUNT(*) FILTER (WHERE fsa_tx = 'UNKNOWN') > 0.01e0 * COUNT(*) AS unknown_warning, "
+                f"COUNT(DISTINCT pol_jurisdiction_cd) <= 1 AS single_jurisdiction FROM ({INF_PREP})")
+    return one("inforce", "cov_ap_col_in > 1 OR cov_ap_sp_cmp_in > 1") + " UNION ALL " + one("elr", "FALSE")
+
+
+# FIXED example charts (same config as the scoring plan's)
+def _proposed_factor_sql() -> str:
+    col = " ".join(f"WHEN '{g}' THEN {0.875 + (g % 3) / 8!r}e0" for g in range(1, 13))
+    return (f"(CASE CAST(veh_rg_col_no AS VARCHAR) {col} ELSE 1e0 END) * "
+            "(CASE CAST(dri_gender_cd AS VARCHAR) WHEN 'M' THEN 1e0 WHEN 'F' THEN 1.125e0 ELSE 1e0 END)")
+
+
+TRX_RERATED = ["Prm_Trm_BI_Uncap_Am", "Prm_Trm_PD_Uncap_Am", "Prm_Trm_DC_Uncap_Am", "Prm_Trm_AB_Uncap_Am",
+               "Prm_Trm_UA_Uncap_Am", "Prm_Trm_UI_Uncap_Am", "Prm_Trm_COL_Uncap_Am", "Prm_Trm_CMP_Uncap_Am",
+               "Prm_Trm_SP_Uncap_Am", "Coll_Portion_of_AP", "Comp_Portion_of_AP"]
+
+
+def _scored_trx(factor: str) -> str:
+    rated = ", ".join(f"{p} * f AS {p}" for p in TRX_RERATED)
+    return (f"(SELECT * REPLACE ({rated}) FROM (SELECT *, {factor} AS f FROM {BC} WHERE {TRX_EXTRACT_WHERE}))")
+
+
+def _earned(c: str, end: bool) -> str:
+    base = f"b_{c}" if c in ("AP_COL", "AP_SP_CMP") else f"Prm_Trm_{c}_Uncap_Am"
+    return f"({'e_' + c if end and c != 'UI' else base}) * {XPO[c]}"
+
+
+def score_trx():
+    sums = ", ".join(f"SUM({_earned(c, e)}) AS Prm_Ern_{c}_OnLvl{'_End' if e else ''}_Am"
+                     for c in COV_END + ["UI"] for e in (False, True))
+    return " UNION ALL ".join(
+        f"SELECT * FROM (WITH {_earn_ctes(_scored_trx(f))}\nSELECT '{n}' AS chart, pol_jurisdiction_cd, COUNT(*) AS rows, "
+        f"{sums} FROM s3 GROUP BY pol_jurisdiction_cd)" for n, f in (("current", _factor_sql()), ("proposed", _proposed_factor_sql())))
+
+
+def dislocation_two_charts():
+    keys = [k for k in O.TRX_KEYS if k != "pol_uwcompany_cd"]
+    tot = " + ".join(f"COALESCE({_earned(c, False)}, 0)" for c in COV_END + ["UI"])
+    claims = " + ".join(f"COALESCE({c}, 0)" for c in O.CLAIMS)
+
+    def side(f):
+        return (f"SELECT * FROM (WITH {_earn_ctes(_scored_trx(f))}\nSELECT {', '.join(keys)}, {COMPANY} AS pol_uwcompany_cd, "
+                f"{tot} AS t, {claims} AS clm FROM s3)")
+
+    on = " AND ".join(f"c.{k} = p.{k}" for k in O.TRX_KEYS)
+    return (f"WITH c AS ({side(_factor_sql())}), p AS ({side(_proposed_factor_sql())}),\n"
+            f"v AS (SELECT {', '.join('c.' + k for k in O.VEH)}, SUM(c.t) AS vb, SUM(COALESCE(p.t, 0)) AS vbp, SUM(c.clm) AS vclm "
+            f"FROM c LEFT JOIN p ON {on} GROUP BY {', '.join('c.' + k for k in O.VEH)}),\n"
+            f"b AS (SELECT *, {O._rc_level('rc', *O.WIDE)} AS Rate_Change_Level FROM "
+            "(SELECT *, CASE WHEN vb = 0 THEN NULL ELSE vbp / vb - 1 END AS rc FROM v))\n"
+            "SELECT Rate_Change_Level, pol_acc_yr_dt, pol_uwcompany_cd, SUM(vb) AS Prm_Trm_Veh_Base_Uncap_Am_Sum, "
+            "SUM(vbp) AS Prm_Trm_Veh_Base_Uncap_Am_Prop_Sum, SUM(vclm) AS clm_veh_chap_tot_am FROM b "
+            "GROUP BY Rate_Change_Level, pol_acc_yr_dt, pol_uwcompany_cd")
+
+
 def oracle_sql() -> dict[str, str]:
     out = {n: f() for n, f in [
         ("extract_trx", extract_trx), ("extract_inforce", extract_inforce),
@@ -504,7 +586,10 @@ def oracle_sql() -> dict[str, str]:
         ("first_per_group", first_per_group), ("row_index", row_index),
         ("union_variables", union_variables), ("resolve_table", row_profile),
         ("optional_source", optional_source), ("write_read_exhibit", O.trx_by_vehicle_sql),
-        ("config_projection", config_projection),
+        ("config_projection", config_projection), ("cur_prop_join_bucketed", cur_prop_join),
+        ("elr_long_bitmaps", O.elr_long_sql), ("row_index_ordered", row_index_ordered),
+        ("reconcile_one_pass", reconcile), ("merge_test_rows", merge_test_rows), ("exhibit_guards", exhibit_guards),
+        ("score_trx", score_trx), ("dislocation_two_charts", dislocation_two_charts),
         ("trx_classification_long", trx_classification_long),
         ("inforce_classification_long", inforce_classification_long)]}
     return out

@@ -17,31 +17,35 @@ from ratecell import spec
 from ratecell.functions.prep import DEFAULT_PREP, PrepSpec
 from ratecell.functions.scalars import sum_null_safe_int
 from ratecell.operators.aggregates import sum_by
+from ratecell.operators.checks import Guard
 from ratecell.operators.filters import chosen_jurisdiction, in_jurisdiction, not_null_all
 from ratecell.operators.schema import require_columns
 from ratecell.plans.common import prep_with_fsa, standard_filters
 
 
 def trx_prepared(trx: DataFrame, province: str | None = None, fsa_col: str = "veh_fsa_tx",
-                 prep: PrepSpec = DEFAULT_PREP) -> DataFrame:
+                 prep: PrepSpec = DEFAULT_PREP, guard: Guard | None = None) -> DataFrame:
     """TRX rows ready to cut: province, no OccasionalPrincipal, all six premiums
     present, company mapped, prep applied, ``fsa_tx`` added."""
     require_columns(trx, spec.TRX_GROUP + spec.TRX_MEASURES + ["dri_type_cd", fsa_col], "TRX")
     d = in_jurisdiction(trx, province)
     d = d.filter(not_null_all(spec.TRX_PREMIUMS))
     d = standard_filters(d)
-    return prep_with_fsa(d, fsa_col, prep, where="TRX")
+    d = prep_with_fsa(d, fsa_col, prep, where="TRX")
+    return guard.watch(d) if guard else d
 
 
 def trx_classification(trx: DataFrame, variable: str = "fsa_tx", province: str | None = None,
-                       fsa_col: str = "veh_fsa_tx", prep: PrepSpec = DEFAULT_PREP) -> DataFrame:
-    """Jurisdiction x company x accident year x level -> 26 sums."""
-    d = trx_prepared(trx, province, fsa_col, prep)
+                       fsa_col: str = "veh_fsa_tx", prep: PrepSpec = DEFAULT_PREP,
+                       guard: Guard | None = None) -> DataFrame:
+    """Jurisdiction x company x accident year x level -> 26 sums. ``guard`` (here and below) watches the
+    prepared rows on their way into the sums; check it after the exhibit is written."""
+    d = trx_prepared(trx, province, fsa_col, prep, guard)
     return sum_by(d, spec.TRX_GROUP + [variable], spec.TRX_MEASURES)
 
 
 def inforce_prepared(inf: DataFrame, province: str | None = None, fsa_col: str = "veh_fsa_tx",
-                     prep: PrepSpec = DEFAULT_PREP) -> DataFrame:
+                     prep: PrepSpec = DEFAULT_PREP, guard: Guard | None = None) -> DataFrame:
     """Inforce rows: composite AP indicators (null-safe), no OccasionalPrincipal,
     company mapped, prep applied, ``fsa_tx`` added. (The original builds an
     all-premiums-present predicate here but never applies it; neither do we.)"""
@@ -50,13 +54,15 @@ def inforce_prepared(inf: DataFrame, province: str | None = None, fsa_col: str =
     d = chosen_jurisdiction(inf, province, "inforce")
     d = d.withColumns({n: sum_null_safe_int(parts) for n, parts in spec.INF_COMPOSITES.items()})
     d = standard_filters(d)
-    return prep_with_fsa(d, fsa_col, prep, where="inforce")
+    d = prep_with_fsa(d, fsa_col, prep, where="inforce")
+    return guard.watch(d) if guard else d
 
 
 def inforce_classification(inf: DataFrame, variable: str = "fsa_tx", province: str | None = None,
-                           fsa_col: str = "veh_fsa_tx", prep: PrepSpec = DEFAULT_PREP) -> DataFrame:
+                           fsa_col: str = "veh_fsa_tx", prep: PrepSpec = DEFAULT_PREP,
+                           guard: Guard | None = None) -> DataFrame:
     """Company x level -> six exposures (indicator sums) and six term premiums."""
-    d = inforce_prepared(inf, province, fsa_col, prep)
+    d = inforce_prepared(inf, province, fsa_col, prep, guard)
     keys = ["pol_uwcompany_cd", variable]
     return d.groupBy(*keys).agg(
         *[F.sum(ind).alias(xpo) for xpo, ind in spec.INF_EXPOSURES],

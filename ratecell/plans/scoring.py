@@ -10,13 +10,14 @@ merge test (one two-count job). The result is meant to be written
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecell import spec
-from ratecell.operators.joins import attach, attach_loss_cost, rerate
+from ratecell.operators.joins import attach, attach_loss_cost, rerate, rerate_charts
+from ratecell.plans.earning import EXAMPLE_SPLIT, earn
 
 # Example chart (variable, level, factor) used by the registered queries; factors
 # are sixteenths so the re-rated sums stay exact.
@@ -28,6 +29,13 @@ RERATED = ["Prm_Trm_BI_Uncap_Am", "Prm_Trm_PD_Uncap_Am", "Prm_Trm_DC_Uncap_Am",
            "Prm_Trm_Dri_Tot_Uncap_Am"]
 
 
+PROPOSED_CHART = ([("veh_rg_col_no", str(g), 0.875 + (g % 3) / 8) for g in range(1, 13)]
+                  + [("dri_gender_cd", "M", 1.0), ("dri_gender_cd", "F", 1.125)])
+# Premiums of a transaction that a chart re-rates, before the AP override makes the composites of them.
+TRX_RERATED = [f"Prm_Trm_{c}_Uncap_Am" for c in ("BI", "PD", "DC", "AB", "UA", "UI", "COL", "CMP", "SP")] + \
+    ["Coll_Portion_of_AP", "Comp_Portion_of_AP"]
+
+
 def onlevel_clear(df: DataFrame, clear: DataFrame, key: str = "veh_vicc_cd",
                   columns: Sequence[str] = ("veh_rg_col_no", "veh_rg_cmp_no")) -> DataFrame:
     """Replace vehicle rate groups by the CLEAR table's, where the vehicle is listed."""
@@ -64,3 +72,54 @@ def score_job(inforce: DataFrame, loss_cost: DataFrame, out_table: str,
     save_table(scored, out_table, fmt, bucket_by=bucket_by)
     assert_same_rows(inforce, spark.table(out_table))
     return out_table
+
+
+# --- several charts in one pass ------------------------------------------------------------------------
+
+def score_trx(trx: DataFrame, charts: Mapping[str, object], split=EXAMPLE_SPLIT,
+              premiums: Sequence[str] = TRX_RERATED) -> DataFrame:
+    """TRX extract -> premiums re-rated on every chart -> endorsement split -> earned: each row once per
+    chart, with the chart's name in ``chart``. One scan of the transactions, whatever the number of charts."""
+    return earn(rerate_charts(trx, charts, premiums), split)
+
+
+def score_inforce_charts(inforce: DataFrame, loss_cost: DataFrame, clear: DataFrame, charts: Mapping[str, object],
+                         premiums: Sequence[str] = RERATED) -> DataFrame:
+    """``score_inforce`` on several charts in one pass: each row once per chart."""
+    base = score_inforce(inforce, loss_cost, clear, [], premiums)
+    return rerate_charts(base, charts, premiums)
+
+
+def write_scored(scored: DataFrame, source: DataFrame, path: str, run: str, charts: Sequence[str],
+                 keys: Sequence[str]) -> None:
+    """Write scored rows into the table folder ``path``, one partition per chart, and test the merge on
+    rows: each partition written must hold the source's keys, no more and no fewer. Charts not scored now
+    keep their files, so that one chart can be scored again without the others."""
+    from ratecell.operators.checks import same_row_set
+    from ratecell.sources.sinks import save_partitions
+    save_partitions(scored, path, "chart", run)
+    for chart in charts:
+        got = same_row_set(source, chart_side(source.sparkSession, path, chart), keys).first()
+        if not got["same_keys"]:
+            raise ValueError(f"scoring on {chart} changed the rows: {got['left_rows']:,} -> {got['right_rows']:,}")
+
+
+def chart_side(spark, path: str, chart: str) -> DataFrame:
+    """The rows of one chart from a table folder of scored rows (only its partition is read)."""
+    return spark.read.parquet(path).where(F.col("chart") == chart).drop("chart", "run_id")
+
+
+def two_chart_summary(trx: DataFrame, inforce: DataFrame, loss_cost: DataFrame, clear: DataFrame, current,
+                      proposed, folder: str, run: str, split=EXAMPLE_SPLIT, **options) -> dict[str, DataFrame]:
+    """From two rating charts to the three exhibits: both datasets scored on both charts in one pass each,
+    written by chart under ``folder``, merge-tested, and summarised as current against proposed.
+    ``options`` go to ``dislocation_summary``."""
+    from ratecell.plans.dislocation import dislocation_summary
+    spark = trx.sparkSession
+    charts = {"current": current, "proposed": proposed}
+    paths = {"trx": f"{folder}/trx", "inf": f"{folder}/inf"}
+    write_scored(score_trx(trx, charts, split), trx, paths["trx"], run, list(charts), spec.TRX_UNIQUE_KEYS)
+    write_scored(score_inforce_charts(inforce, loss_cost, clear, charts), inforce, paths["inf"], run, list(charts),
+                 spec.INF_UNIQUE_KEYS)
+    sides = [chart_side(spark, paths[d], c) for d in ("trx", "inf") for c in charts]
+    return dislocation_summary(*sides, **options)

@@ -111,16 +111,17 @@ def q_elr_long(spark, sf):
 
 
 # --- sources, projections, filters ---------------------------------------------------------
+AS_OF = "2025-06-30"
 EXTRACT_COLS = ["veh_id_no", "dri_id_no", "pol_jurisdiction_cd", "veh_product_cd",
                 "pol_commercial_in", "trx_offset_onset_cd", "Prm_Ern_BI_OnLvl_End_Am"]
 
 
 def q_extract_trx(spark, sf):
-    return EX.extract_trx(B.book(spark, sf), EXTRACT_COLS, province="america")
+    return EX.extract_trx(B.book(spark, sf), EXTRACT_COLS, province="america", as_of=AS_OF)
 
 
 def q_extract_inforce(spark, sf):
-    d = EX.extract_inforce(B.book(spark, sf), province=["AMERICA", "EUROPE"])
+    d = EX.extract_inforce(B.book(spark, sf), province=["AMERICA", "EUROPE"], as_of=AS_OF)
     return d.groupBy("pol_jurisdiction_cd", "veh_product_cd").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -376,13 +377,14 @@ def q_null_operands(spark, sf):
 
 
 def q_single_jurisdiction(spark, sf):
-    return CK.jurisdictions_in(EX.extract_trx(B.book(spark, sf), None, province="AMERICA"))
+    return CK.jurisdictions_in(EX.extract_trx(B.book(spark, sf), None, province="AMERICA", as_of=AS_OF))
 
 
 def q_side_balance(spark, sf):
     cur, prop = _sides(spark, sf)
     return CK.side_counts({("trx", "current"): cur, ("trx", "proposed"): prop,
-                           ("inf", "current"): cur, ("inf", "proposed"): cur})
+                           ("inf", "current"): EX.extract_inforce(cur, province=None, as_of=AS_OF),
+                           ("inf", "proposed"): EX.extract_inforce(prop, province=None, as_of=AS_OF)})
 
 
 # --- joins ------------------------------------------------------------------------------------
@@ -396,9 +398,9 @@ def q_cur_prop_join(spark, sf):
 
 
 def q_band_back_join(spark, sf):
-    j = D.trx_joined(*_sides(spark, sf))
-    bands = D.trx_vehicle_bands(j).select(*spec.TRX_VEHICLE, "Rate_Change_Level")
-    d = JN.attach(j, bands, spec.TRX_VEHICLE)
+    j = D.trx_joined(*_sides(spark, sf)).select(*spec.TRX_VEHICLE, "dri_id_no", "Prm_Trm_TOT_Uncap_Am_Ern",
+                                                "Prm_Trm_TOT_Uncap_Am_Prop_Ern")
+    d = D.trx_rows_banded(SK.materialize(j, "band_back_join"))
     return d.groupBy("Rate_Change_Level").agg(F.count(F.lit(1)).alias("rows"),
                                               F.sum("Prm_Trm_TOT_Uncap_Am_Ern").alias("cur_tot"))
 
@@ -436,7 +438,7 @@ def q_rerate(spark, sf):
 
 def q_score_inforce(spark, sf):
     name, _ = _register_clear(spark, sf)
-    inf = EX.extract_inforce(B.book(spark, sf), province=None)
+    inf = EX.extract_inforce(B.book(spark, sf), province=None, as_of=AS_OF)
     d = SG.score_inforce(inf, B.loss_cost_table(spark, sf), spark.table(name))
     return d.groupBy("pol_jurisdiction_cd").agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in SG.RERATED],
@@ -445,7 +447,7 @@ def q_score_inforce(spark, sf):
 
 def q_merge_test(spark, sf):
     name, _ = _register_clear(spark, sf)
-    inf = EX.extract_inforce(B.book(spark, sf), province=None)
+    inf = EX.extract_inforce(B.book(spark, sf), province=None, as_of=AS_OF)
     scored = SG.score_inforce(inf, B.loss_cost_table(spark, sf), spark.table(name))
     return CK.same_rows(inf, scored)
 
@@ -460,11 +462,13 @@ def _principal_summary(v):
 
 
 def q_vehicle_window_totals(spark, sf):
-    """Vehicle totals kept on every driver row (aggregate joined back, no window over
-    the vehicle), then one principal row per vehicle."""
+    """Vehicle totals kept on every driver row (aggregate joined back with hot vehicles
+    split, no window over the vehicle), then one principal row per vehicle."""
     j = D.inf_joined(*_sides(spark, sf))
     totals = {k: v for k, v in D._vehicle_totals(j).items() if "_Base_" in k}
-    rows = WN.with_group_totals(j, spec.INF_VEHICLE, totals, method="join")
+    j = SK.materialize(j.select(*spec.INF_VEHICLE, "dri_id_no", "dri_type_cd", "veh_age_nb",
+                                "Prm_Trm_Dri_Base_Uncap_Am", "Prm_Trm_Dri_Base_Uncap_Am_Prop"), "vehicle_rows")
+    rows = WN.with_group_totals_split(j, spec.INF_VEHICLE, totals)
     one = WN.first_per_group(rows.select(*spec.INF_VEHICLE, "dri_id_no", "dri_type_cd", "veh_age_nb",
                                          *totals),
                              spec.INF_VEHICLE, ["dri_id_no"],
@@ -499,10 +503,12 @@ def q_union_variables(spark, sf):
 def q_resolve_table(spark, sf):
     b = B.book(spark, sf)
     t = _tag(sf)
-    b.drop(*spec.TRX_PREMIUMS).createOrReplaceTempView(f"trx_candidate_b_{t}")
+    # The first candidate doesn't exist, the second lacks columns and the last holds other rows.
+    b.where("pol_jurisdiction_cd = 'ASIA'").drop(*spec.TRX_PREMIUMS).createOrReplaceTempView(f"trx_candidate_b_{t}")
     b.createOrReplaceTempView(f"trx_candidate_c_{t}")
+    b.where("pol_jurisdiction_cd <> 'ASIA'").createOrReplaceTempView(f"trx_candidate_d_{t}")
     _, d = CAT.resolve_table(spark, [f"trx_candidate_a_{t}", f"trx_candidate_b_{t}",
-                                     f"trx_candidate_c_{t}"],
+                                     f"trx_candidate_c_{t}", f"trx_candidate_d_{t}"],
                              spec.TRX_GROUP + spec.TRX_MEASURES + ["dri_type_cd", "veh_fsa_tx"])
     return CK.row_profile(d)
 
@@ -548,6 +554,90 @@ def q_write_read_exhibit(spark, sf):
     return spark.read.parquet(path)
 
 
+# --- saved sides, checks in one pass, scoring on charts -----------------------------------------------
+def _folder(spark, name: str) -> str:
+    """A new folder of this query's run in the shared checkpoint folder."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+def q_cur_prop_join_bucketed(spark, sf):
+    """``cur_prop_join`` over two saved sides: no exchange under the join."""
+    import uuid
+    names = [f"side_{x}_{uuid.uuid4().hex}" for x in ("current", "proposed")]
+    keep = spec.INF_UNIQUE_KEYS + ["pol_uwcompany_cd", "Prm_Trm_Dri_Tot_Uncap_Am"]
+    sides = D.saved_sides(*[d.select(*keep) for d in _sides(spark, sf)], spec.INF_UNIQUE_KEYS + ["pol_uwcompany_cd"],
+                          int(spark.conf.get("spark.sql.shuffle.partitions")), names, [_folder(spark, n) for n in names])
+    j = D.inf_joined(*sides, map_codes=False)
+    return j.groupBy("pol_uwcompany_cd").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("Prm_Trm_Dri_Tot_Uncap_Am_Prop").isNotNull()).alias("matched"),
+        F.sum("Prm_Trm_Dri_Tot_Uncap_Am").alias("cur_tot"),
+        F.sum("Prm_Trm_Dri_Tot_Uncap_Am_Prop").alias("prop_tot"))
+
+
+def q_elr_long_bitmaps(spark, sf):
+    return E.elr_long(B.book(spark, sf), closing=B.closing(spark, sf), retention=B.retention(spark, sf),
+                      province=spec.ALL_PROVINCES, distinct="bitmaps")
+
+
+def q_row_index_ordered(spark, sf):
+    return WN.row_index(B.book(spark, sf).select("veh_id_no", "dri_id_no"), order=["veh_id_no", "dri_id_no"])
+
+
+def q_reconcile_one_pass(spark, sf):
+    return CK.reconcile_one_pass(C.trx_prepared(B.book(spark, sf)), spec.TRX_GROUP, "fsa_tx",
+                                 ["Prm_Ern_BI_OnLvl_End_Am", "Xpo_Ern_BI_Nb"])
+
+
+def q_merge_test_rows(spark, sf):
+    """The merge test on keys: scored rows hold the extract's, rows with some policies exchanged don't."""
+    name, _ = _register_clear(spark, sf)
+    inf = EX.extract_inforce(B.book(spark, sf), province=None, as_of=AS_OF)
+    scored = SG.score_inforce(inf, B.loss_cost_table(spark, sf), spark.table(name))
+    swapped = inf.withColumn("pol_policy_no", F.expr("CASE WHEN veh_id_no % 1000 = 7 THEN -1 ELSE pol_policy_no END"))
+    tests = [CK.same_row_set(inf, d, spec.INF_UNIQUE_KEYS).select(F.lit(n).alias("compared"), "*")
+             for n, d in (("scored", scored), ("swapped", swapped))]
+    return tests[0].unionByName(tests[1])
+
+
+def q_exhibit_guards(spark, sf):
+    """Counts that ride on the jobs that write two exhibits, one row for each exhibit."""
+    reports = []
+    for n, build, more in (("inforce", C.inforce_classification, {"composites": list(spec.INF_COMPOSITES)}),
+                           ("elr", E.elr_exhibit, {})):
+        guard = CK.Guard(n, operands=["dri_gender_cd", "rat_km_annual_nb"], **more)
+        ex = build(B.book(spark, sf), province=spec.ALL_PROVINCES, guard=guard)
+        SK.write_exhibit(ex, _folder(spark, "guarded"), 1001, "guards", n)
+        r = guard.report()
+        reports.append((n, *[r[c] for c in ("rows", "unknown", "double_counted_rows", "rat_km_annual_nb_nulls",
+                                            "unknown_warning", "single_jurisdiction")]))
+    return spark.createDataFrame(reports, "exhibit string, rows long, unknown long, double_counted_rows long, "
+                                 "km_nulls long, unknown_warning boolean, single_jurisdiction boolean")
+
+
+CHARTS = {"current": SG.EXAMPLE_CHART, "proposed": SG.PROPOSED_CHART}
+
+
+def _raw_trx(spark, sf, more=()):
+    cols = (list(SCORED_TRX) + spec.TRX_UNIQUE_KEYS + spec.DISLOCATION_CLAIMS
+            + ["veh_rg_col_no", "dri_gender_cd", "ter_onlvl_ibc_no", *more])
+    return EX.extract_trx(B.book(spark, sf), list(dict.fromkeys(cols)), province=None, as_of=AS_OF)
+
+
+def q_score_trx(spark, sf):
+    d = SG.score_trx(_raw_trx(spark, sf), CHARTS)
+    cols = [f"Prm_Ern_{c}_OnLvl{e}_Am" for c in spec.COV_ALL for e in ("", "_End")]
+    return d.groupBy("chart", "pol_jurisdiction_cd").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in cols])
+
+
+def q_dislocation_two_charts(spark, sf):
+    """Transactions scored on two charts in one pass, written by chart, then the vehicle exhibit."""
+    trx, path = _raw_trx(spark, sf), _folder(spark, "scored_trx")
+    SG.write_scored(SG.score_trx(trx, CHARTS), trx, path, "both", list(CHARTS), spec.TRX_UNIQUE_KEYS)
+    return D.trx_by_vehicle(*[SG.chart_side(spark, path, c) for c in CHARTS], bounds=WIDE_BOUNDS)
+
+
 QUERIES: dict[str, Query] = {
     "dislocation_trx_vehicle": q_dislocation_trx_vehicle,
     "dislocation_trx_driver": q_dislocation_trx_driver,
@@ -614,4 +704,12 @@ QUERIES: dict[str, Query] = {
     "optional_source": q_optional_source,
     "write_read_exhibit": q_write_read_exhibit,
     "config_projection": q_config_projection,
+    "cur_prop_join_bucketed": q_cur_prop_join_bucketed,
+    "elr_long_bitmaps": q_elr_long_bitmaps,
+    "row_index_ordered": q_row_index_ordered,
+    "reconcile_one_pass": q_reconcile_one_pass,
+    "merge_test_rows": q_merge_test_rows,
+    "exhibit_guards": q_exhibit_guards,
+    "score_trx": q_score_trx,
+    "dislocation_two_charts": q_dislocation_two_charts,
 }

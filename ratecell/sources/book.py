@@ -67,9 +67,11 @@ _COMMON = [
     ("trx_eff_dt", "l_shipdate"),
     ("trx_ent_dt", "l_shipdate"),
     ("pol_acc_yr_dt", "CAST(year(o_orderdate) AS STRING)"),
-    ("trx_offset_onset_cd", "l_linestatus"),
+    ("trx_offset_onset_cd", "CASE WHEN l_orderkey % 83 = 0 THEN NULL ELSE l_linestatus END"),
+    ("dat_as_of_dt", "CASE WHEN o_orderkey % 43 = 0 THEN '2025-03-31' ELSE '2025-06-30' END"),
+    ("dat_year_type_tx", "CASE WHEN l_suppkey % 19 = 0 THEN 'CY' ELSE 'AY' END"),
     ("pol_jurisdiction_cd", "r_name"),
-    ("pol_region_cd", "'AP'"),
+    ("pol_region_cd", "CASE WHEN r_name = 'MIDDLE EAST' THEN 'QC' ELSE 'AP' END"),
     ("pol_uwcompany_cd", "CASE WHEN o_orderkey % 53 = 0 THEN NULL "
                          "WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'snic' "
                          "WHEN o_orderpriority = '3-MEDIUM' THEN 'prim' ELSE 'other' END"),
@@ -78,7 +80,7 @@ _COMMON = [
     ("veh_fsa_tx", f"CASE p_partkey % 10 WHEN 0 THEN NULL WHEN 1 THEN '' "
                    f"WHEN 2 THEN concat(lower({_FSA}), ' ') WHEN 3 THEN concat('  ', {_FSA}) "
                    f"ELSE {_FSA} END"),
-    ("veh_product_cd", "CASE WHEN p_type = 'SMALL' THEN 'motor_home' ELSE 'ppa' END"),
+    ("veh_product_cd", "CASE p_type WHEN 'SMALL' THEN 'motor_home' WHEN 'PROMO' THEN 'trailer' ELSE 'ppa' END"),
     ("pol_commercial_in", "CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END"),
     ("pol_business_cd", "CASE WHEN o_orderstatus = 'O' THEN 'NB' ELSE 'RN' END"),
     # rating variables
@@ -101,16 +103,26 @@ _COMMON = [
     ("veh_rg_col_no", "p_size % 11 + 1"),
     ("veh_rg_cmp_no", "k_brand % 8 + 1"),
     ("cov_col_ded_am", "CASE WHEN p_size % 4 = 0 THEN NULL ELSE 500e0 * (p_size % 4) END"),
+    ("cov_cmp_ded_am", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE 250e0 * (p_size % 5) END"),
+    ("cov_tpl_limit_am", "CASE WHEN o_custkey % 3 = 0 THEN 1000000 ELSE 2000000 END"),
+    ("exp_col_af_10yrs_nb", "CASE WHEN k_tax = 5 THEN NULL ELSE k_tax % 3 END"),
+    ("exp_col_af_10yrs_avg_nb", "CASE WHEN k_tax = 5 THEN NULL ELSE k_tax % 2 END"),
+    ("exp_minor_03yrs_avg_nb", "CASE WHEN k_disc = 9 THEN NULL ELSE k_disc % 3 END"),
+    ("exp_major_03yrs_nb", "CASE WHEN k_disc = 7 THEN NULL ELSE k_disc % 2 END"),
+    ("exp_criminal_03yrs_nb", "CASE WHEN o_custkey % 29 = 0 THEN 1 ELSE 0 END"),
+    ("exp_susp_minus_03yrs_nb", "CAST(o_custkey % 4 AS INT)"),
+    ("exp_susp_plus_03yrs_nb", "CAST(o_custkey % 2 AS INT)"),
+    ("exp_canc_nopay_03yrs_nb", "CASE WHEN k_disc = 3 THEN 1 ELSE 0 END"),
     ("ter_onlvl_ibc_no", "n_nationkey % 6 + 1"),
     ("exp_minor_03yrs_nb", "CASE WHEN k_disc = 10 THEN NULL ELSE k_disc % 4 END"),
-    # coverage indicators (AP excludes COL/CMP/SPE, so the double-count guard passes)
+    # coverage indicators (AP excludes COL/CMP/SPE, save for a few rows that the double-count guard finds)
     ("cov_bi_in", "1"),
     ("cov_dc_in", "1"),
     ("cov_pd_in", "CASE WHEN p_size % 10 = 0 THEN 0 ELSE 1 END"),
     ("cov_ab_in", "1"),
     ("cov_ap_in", "CASE WHEN p_size % 9 = 0 THEN 1 ELSE 0 END"),
     ("cov_col_in", "CASE WHEN o_orderkey % 37 = 0 THEN NULL "
-                   "WHEN p_size % 9 <> 0 AND p_size % 2 = 0 THEN 1 ELSE 0 END"),
+                   "WHEN o_orderkey % 59 = 0 OR (p_size % 9 <> 0 AND p_size % 2 = 0) THEN 1 ELSE 0 END"),
     ("cov_cmp_in", "CASE WHEN p_size % 9 <> 0 AND p_size % 3 = 0 THEN 1 ELSE 0 END"),
     ("cov_spe_in", "CASE WHEN p_size % 9 <> 0 AND p_size % 3 <> 0 AND p_size % 5 = 0 "
                    "THEN 1 ELSE 0 END"),

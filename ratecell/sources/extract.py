@@ -6,25 +6,38 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratecell import spec
 from ratecell.operators.filters import in_jurisdiction
 
 
+# The latest as-of date that the source has (found by a scan of that column; name the date to save it).
+LATEST = "latest"
+
+
+def _dated(src: DataFrame, as_of: str | None) -> list[Column]:
+    if as_of is None or "dat_as_of_dt" not in src.columns:
+        return []
+    if as_of == LATEST:
+        as_of = src.agg(F.max("dat_as_of_dt")).first()[0]
+    return [F.col("dat_as_of_dt") == F.lit(as_of)]
+
+
 def extract_trx(src: DataFrame, columns: Sequence[str] | None, province: str | None,
                 region: str = "AP", products: Iterable[str] = ("ppa",),
-                as_of: str | None = None, year_type: str | None = None) -> DataFrame:
+                as_of: str | None = LATEST, year_type: str | None = spec.YEAR_TYPE) -> DataFrame:
     """TRX extract: chosen columns; region, as-of date, product IN, year type,
-    non-commercial, onset code present; then the province."""
+    non-commercial, onset code present; then the province. A source with as-of dates is cut to one
+    (``None`` keeps all: the same policies then repeat), one with year types to ``year_type``."""
     d = src
     conds = [F.col("pol_region_cd") == F.lit(region),
              F.col("veh_product_cd").isin(list(products)),
              F.col("pol_commercial_in") == F.lit(0),
              F.col("trx_offset_onset_cd").isNotNull()]
-    if as_of is not None:
-        conds.append(F.col("dat_as_of_dt") == F.lit(as_of))
-    if year_type is not None:
+    conds += _dated(src, as_of)
+    if year_type is not None and "dat_year_type_tx" in src.columns:
         conds.append(F.col("dat_year_type_tx") == F.lit(year_type))
     for c in conds:
         d = d.filter(c)
@@ -35,14 +48,14 @@ def extract_trx(src: DataFrame, columns: Sequence[str] | None, province: str | N
 
 def extract_inforce(src: DataFrame, province: str | Iterable[str] | None, region: str = "AP",
                     products: Iterable[str] = ("ppa", "motor_home"),
-                    as_of: str | None = None) -> DataFrame:
-    """Inforce extract: every column; region, as-of, ppa + motor homes,
+                    as_of: str | None = LATEST) -> DataFrame:
+    """Inforce extract: every column; region, as-of (as in ``extract_trx``), ppa + motor homes,
     non-commercial, province IN."""
     d = (src.filter(F.col("pol_region_cd") == F.lit(region))
          .filter(F.col("veh_product_cd").isin(list(products)))
          .filter(F.col("pol_commercial_in") == F.lit(0)))
-    if as_of is not None:
-        d = d.filter(F.col("dat_as_of_dt") == F.lit(as_of))
+    for c in _dated(src, as_of):
+        d = d.filter(c)
     if isinstance(province, str):
         province = [province]
     return in_jurisdiction(d, province)

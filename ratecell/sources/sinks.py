@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def save_table(df: DataFrame, table: str, fmt: str = "parquet",
@@ -21,6 +22,8 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet",
     later join on those keys (no shuffle when both sides share the bucketing)."""
     aside = f"{table}__new"
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {aside}")
+    if bucket_by:           # each bucket meets in one task and becomes one file
+        df = df.repartition(bucket_by[0], *bucket_by[1])
     w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -58,13 +61,30 @@ def write_exhibit(df: DataFrame, folder: str, ticket: int | str, filename: str,
 
 
 def write_exhibits(exhibits: Mapping[str, DataFrame], folder: str, ticket: int | str,
-                   filename: str, dry_run: bool = False) -> list[dict]:
+                   filename: str, dry_run: bool = False, guards: Mapping[str, object] | None = None) -> list[dict]:
+    """Write several exhibits. ``guards``: for an exhibit's name the ``checks.Guard`` that watches its rows;
+    it is checked after the write, and an exhibit that fails it is removed before the error is raised. Its
+    counts join the log."""
     log: list[dict] = []
     for free_form, df in exhibits.items():
-        write_exhibit(df, folder, ticket, filename, free_form, dry_run=dry_run, log=log)
+        path = write_exhibit(df, folder, ticket, filename, free_form, dry_run=dry_run, log=log)
+        guard = (guards or {}).get(free_form)
+        if guard is not None and not dry_run:
+            try:
+                log[-1]["guard"] = guard.check()
+            except AssertionError:
+                remove_folder(df.sparkSession, path)
+                raise
     return log
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark writes to."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the session's shared checkpoint folder
     and read it back: later consumers start from these files (column-pruned,
@@ -75,7 +95,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _materialized.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_materialized: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``materialize`` has written for this application, once the frames that read it are done
+    with (after their exhibits are written). Returns how many folders went."""
+    paths = _materialized.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_folder(spark, path)
+    return len(paths)
+
+
+def save_side(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """A side of a later join as a table bucketed and sorted on its keys, one file per bucket, and read back.
+    Two sides saved alike join without an exchange, as long as nothing changes the keys in between: map
+    codes before saving. ``path``: where the files go, else the warehouse. An existing table raises."""
+    w = (df.repartition(buckets, *keys).write.format("parquet").mode("errorifexists")
+         .bucketBy(buckets, *keys).sortBy(*keys))
+    (w.option("path", path) if path else w).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def save_partitions(df: DataFrame, path: str, by: str, run: str) -> None:
+    """Write ``df`` into a table folder partitioned by ``by``: partitions that ``df`` has rows of are replaced,
+    all others keep their files. ``run`` names the job in the lineage column ``run_id``."""
+    (df.withColumn("run_id", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(path))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def distinct_flagged_bitmaps(df: DataFrame, keys: Sequence[str], key: str, flag:
     """
     number = "_number"
     ids = row_index(df.select(key).where(F.col(key).isNotNull()).distinct(), number, [key])
-    rows = df.select(*dict.fromkeys([*keep, key, flag])).join(ids, key)
+    rows = df.select(*dict.fromkeys([*keep, *[c for c in keys if c in df.columns], key, flag])).join(ids, key)
     rows = rows.withColumn("_flagged", F.coalesce(F.col(flag), F.lit(0)) == 1)
     if explode:
         rows = rows.select(*[c for c in keys if c in rows.columns], number, "_flagged", *explode)

@@ -90,14 +90,15 @@ def with_group_totals_split(df: DataFrame, keys: Sequence[str], totals: Mapping[
     a written table or a cheap plan: its rows are read twice.
     """
     n = "_group_rows"
-    t = materialize(df.groupBy(*keys).agg(*[F.sum(e).alias(x) for x, e in totals.items()], F.count(F.lit(1)).alias(n)),
-                    "group_totals")
+    # The salt of totals is written with them: a literal would be folded out of the join's keys.
+    t = materialize(df.groupBy(*keys).agg(*[F.sum(e).alias(x) for x, e in totals.items()], F.count(F.lit(1)).alias(n))
+                    .withColumn("salt", F.lit(0)), "group_totals")
     rows = t.agg(F.sum(n)).first()[0] or 0
     limit = rows * hot_share
 
     def side(part: DataFrame, tag: str) -> DataFrame:
         return part.select(*[F.col(k).alias(f"{tag}{k}") for k in keys], *[F.col(x).alias(f"{tag}{x}") for x in totals],
-                           F.lit(0).alias(f"{tag}salt"))
+                           F.col("salt").alias(f"{tag}salt"))
 
     def same(tag: str) -> Column:
         return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{tag}{k}")) for k in keys])

@@ -92,13 +92,18 @@ def global_index(df: DataFrame, order: list, name: str, index: str) -> DataFrame
 
 class Recent(dict):
     """A bounded memo of ``make(key)`` in two generations: when one is full it becomes the older
-    one, and keys found there move up again."""
+    one, and keys found there move up again. Keys longer than ``LONGEST`` are not remembered, so that
+    the limit of entries bounds the bytes too."""
+
+    LONGEST = 100
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
+        if not isinstance(key, int) and len(key) > self.LONGEST:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)

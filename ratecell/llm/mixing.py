@@ -9,9 +9,10 @@ those whose hash lies below a threshold that is found as follows: words are summ
 and so on until one hash value is left; that last document is taken if this comes nearer to the
 target. Nothing is sorted, and each level moves at most ``2**BITS`` sums for each source.
 
-The hash is the first 60 bits of the MD5 of doc_id in decimal (null: of the empty string), so
-reruns agree. Null and empty texts have size 0; they follow their source's threshold and take 0
-words. Rows with the same doc_id have the same hash and are taken or left together. An empty table
+The hash is the first 36 bits of the MD5 of doc_id in decimal (null: of the empty string), then the
+first 24 bits of the MD5 of the text (null: empty), so reruns agree, and rows without an id, or with one
+id and different texts, are taken or left one by one. Only rows equal in both stay together. Null and empty
+texts have size 0; they follow their source's threshold and take 0 words. An empty table
 gives no rows. Extra columns are ignored.
 """
 
@@ -28,9 +29,9 @@ CAP = 2
 BITS, LEVELS = 12, 5            # 60 bits of hash
 
 
-def doc_hash(doc_id):
-    h = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+def doc_hash(doc_id, text):
+    by_id, by_text = (F.md5(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) for c in (doc_id, text))
+    return F.conv(F.concat(F.substring(by_id, 1, 9), F.substring(by_text, 1, 6)), 16, 10).cast("long")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def sizes(docs: DataFrame) -> DataFrame:
     s = docs.select("doc_id", F.col("source").cast("string").alias("source"),
                     F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")),
                                    F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
-                    doc_hash(F.col("doc_id")).alias("h"))
+                    doc_hash(F.col("doc_id"), F.col("text")).alias("h"))
     return written(s, "mix-sizes")
 
 
@@ -119,7 +120,7 @@ def mix(docs: DataFrame) -> DataFrame:
     for each source, meet the documents; no row is sorted."""
     cut = thresholds(sizes(docs))
     src, n = free_name(docs, "_src"), free_name(docs, "_n")
-    times = docs.select(F.col("*"), F.struct(doc_hash(F.col("doc_id")).alias("h")).alias(n))
+    times = docs.select(F.col("*"), F.struct(doc_hash(F.col("doc_id"), F.col("text")).alias("h")).alias(n))
     got = times.join(cut.select(F.col("source").alias(src), F.struct("passes", "cut").alias(src + "c")),
                      F.col("source").cast("string").eqNullSafe(F.col(src)))
     count = F.col(f"{src}c.passes") + ((F.col(f"{n}.h") <= F.col(f"{src}c.cut"))
@@ -132,7 +133,7 @@ def mix(docs: DataFrame) -> DataFrame:
 ORACLE = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 9) || substr(md5(coalesce(text, '')), 1, 6))::BIGINT AS h
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -9,7 +9,8 @@ File: the magic ``RCDA1``, a JSON header padded to 8 bytes (array lengths), then
 missing-id flags (uint8), each document's end (uint64, tokens), and for each level the chunks
 (uint8), the bitmap (bits, lowest first) and the rank directory (uint32). Documents are in ascending
 doc_id order within a file and across the files by name; rows with a null doc_id come first, rows
-that repeat a doc_id in the order of their texts. Null texts count as empty; every document ends
+that repeat a doc_id in the order of their texts' first ``PREFIX`` code points, then of a hash of the text (so
+that no text leaves the executors to find the files' bounds, and many rows without an id spread). Null texts count as empty; every document ends
 with the end id, so an empty one has one token. Extra columns are ignored. An empty table writes no file.
 """
 
@@ -35,6 +36,7 @@ END_ID = 2
 MEMO = 400_000
 TOKENS_IN_FILE = 2_000_000
 MAGIC = b"RCDA1"
+PREFIX = 32
 BLOCK = 512
 # Words of plain letters: NFC and lower case leave nothing else to do for them.
 PLAIN = regex.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,|]?)")
@@ -179,13 +181,15 @@ def write_files(docs: DataFrame, path: str, folder: str) -> DataFrame:
                                           pa.array(cols[2], pa.int64())], ["name", "part", "n_tokens"])
 
     t = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    t = t.repartitionByRange(F.col("doc_id"), F.col("text")).sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.substring("text", 1, PREFIX), F.xxhash64("text")]
+    t = t.repartitionByRange(*order).sortWithinPartitions(*order)
     # Written at once: the files come from one run of this job.
     return written(t.mapInArrow(run, "name string, part long, n_tokens long"), "dac-files")
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """name, doc_id, start (in the file), n_tokens, ids_crc32 of every document in the files."""
+    """name, doc_id, start (in the file), n_tokens, ids_crc32, last_id of every document in the files: the
+    last by direct access (rank directories), the rest by decoding the levels."""
     ship(spark)
 
     def run(batches):
@@ -195,18 +199,20 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                 ids, ends = r.tokens(), r.ends.astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
+                last = [r.token(b - 1) for b in ends.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(ends), pa.string()), pa.array(r.doc_ids, pa.int64()), pa.array(starts),
-                     pa.array(ends - starts), pa.array(crc, pa.int64())],
-                    ["name", "doc_id", "start", "n_tokens", "ids_crc32"])
+                     pa.array(ends - starts), pa.array(crc, pa.int64()), pa.array(last, pa.int64())],
+                    ["name", "doc_id", "start", "n_tokens", "ids_crc32", "last_id"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dac").load(folder)
     return (files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-            .mapInArrow(run, "name string, doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(run, "name string, doc_id long, start long, n_tokens long, ids_crc32 long, last_id long"))
 
 
 def round_trip(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
-    """doc_id, start (tokens of all documents before it), n_tokens, ids_crc32, from the files."""
+    """doc_id, start (tokens of all documents before it), n_tokens, ids_crc32, from the files. A document
+    whose last token, read by direct access, is not the end id raises."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "dac")
     files = write_files(docs, path, folder)
@@ -215,5 +221,7 @@ def round_trip(docs: DataFrame, path: str, folder: str | None = None) -> DataFra
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     own = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("name")) - F.col("n_tokens")
     base = files.withColumn("own", own).join(parts, "part").select("name", (F.col("before") + F.col("own")).alias("base"))
-    return (read_files(spark, folder).join(base, "name")
+    ended = F.when(F.col("last_id") == END_ID, F.col("n_tokens")).otherwise(
+        F.raise_error(F.concat(F.lit("no end id in "), "name")).cast("long"))
+    return (read_files(spark, folder).join(base, "name").withColumn("n_tokens", ended)
             .select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))

@@ -139,7 +139,8 @@ def plan(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write the archives to ``folder``; returns their names and numbers of records."""
+    """Write the archives to ``folder``; returns their names and numbers of records. Files of attempts that
+    failed may stay in the folder; those returned are the archive."""
     ship(pages.sparkSession)
     make_folder(folder)
 
@@ -148,7 +149,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
         def flush():
             nonlocal number, size, out
-            name = f"pages-{part:08d}-{number:06d}.warc.gz"
+            # A retried task may meet its rows in another order: each attempt writes files of its own.
+            name = f"pages-{part:08d}-{number:06d}-{TaskContext.get().taskAttemptId()}.warc.gz"
             put(folder, name, b"".join(out))
             done.append((name, len(out)))
             number, size, out = number + 1, 0, []
@@ -179,8 +181,10 @@ _FIELDS = ("warc-type", "warc-record-id", "warc-target-uri", "warc-refers-to", "
            "warc-segment-number", "warc-segment-origin-id", "warc-segment-total-length")
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: type, id, uri, refers, digest, segment, origin, total, block."""
+def read_records(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """One row per record: type, id, uri, refers, digest, segment, origin, total, block. ``files``: the
+    files to read, as ``write_archives`` returns them (their names go to the driver, which lists the files
+    it reads in any case); without it, every archive in the folder."""
     ship(spark)
     names = ["type", "id", "uri", "refers", "digest", "segment", "origin", "total"]
 
@@ -195,8 +199,15 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                         rows = []
                 yield _batch(rows, names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("content")
-    r = files.mapInArrow(run, ", ".join(f"{n} string" for n in names) + ", block binary")
+    if files is None:
+        paths = [folder]
+    else:
+        paths = [f"{folder}/{r.name}" for r in files.select("name").collect()]
+    if paths:
+        data = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(paths).select("content")
+    else:
+        data = spark.createDataFrame([], "content binary")
+    r = data.mapInArrow(run, ", ".join(f"{n} string" for n in names) + ", block binary")
     return r.withColumn("segment", F.col("segment").cast("int")).withColumn("total", F.col("total").cast("long"))
 
 
@@ -221,14 +232,14 @@ def reassemble(rec: DataFrame) -> DataFrame:
     return whole.unionByName(joined.withColumn("block", F.when(F.col("complete"), F.col("block"))))
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
+def read_pages(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
     """page_id, record_type, refers_to, uri, payload (null for revisits), digest, complete."""
     @F.pandas_udf("binary")
     def payload(kind: pd.Series, block: pd.Series) -> pd.Series:
         return pd.Series([http_payload(bytes(b)) if k == "response" and b is not None else None
                           for k, b in zip(kind, block)], dtype=object)
 
-    r = reassemble(read_records(spark, folder))
+    r = reassemble(read_records(spark, folder, files))
     page = r"^<urn:page:(-?\d+)"
     return r.select(F.regexp_extract("id", page, 1).try_cast("long").alias("page_id"), F.col("type").alias("record_type"),
                     F.regexp_extract("refers", page, 1).try_cast("long").alias("refers_to"), "uri",
@@ -240,8 +251,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     archives; a revisit's payload is that of the response it refers to."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
-    write_archives(pages, folder)
-    p = read_pages(spark, folder).select("page_id", "record_type", "refers_to", "digest",
+    p = read_pages(spark, folder, write_archives(pages, folder)).select("page_id", "record_type", "refers_to", "digest",
                                          F.octet_length("payload").cast("long").alias("payload_bytes"),
                                          F.sha1("payload").alias("payload_digest"))
     p = written(p, "warc-pages")        # ids and digests; the archives are read once

@@ -315,6 +315,19 @@ def test_chunked_framing():
     assert warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n") is None and warc.unchunked(b"zz\r\n") is None
 
 
+def test_warc_reads_only_what_was_committed(spark):
+    """A file that a lost attempt left in the folder changes nothing."""
+    pages = spark.createDataFrame([(k, f"u{k}", f"<p>{k % 4}</p>" * 300) for k in range(20)], "page_id long, url string, html string")
+    folder = scratch(spark, "warc-stale")
+    files = warc.write_archives(pages, folder)
+    before = sorted(map(tuple, warc.read_records(spark, folder, files).select("type", "id").collect()))
+    stale = warc.write_archives(pages.where("page_id < 3"), folder)          # another attempt's files
+    assert warc.read_records(spark, folder).count() > len(before) == 20
+    assert sorted(map(tuple, warc.read_records(spark, folder, files).select("type", "id").collect())) == before
+    assert not {r.name for r in stale.collect()} & {r.name for r in files.collect()}
+    assert warc.read_records(spark, folder, files.limit(0)).count() == 0
+
+
 # --- pipeline -------------------------------------------------------------------------------------------
 
 def test_pipeline(spark):
@@ -343,6 +356,7 @@ def test_pipeline(spark):
                             mergeable_ranks=bpe_fst.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
     for r in final[:20]:
         assert np.frombuffer(r.ids, "<u4").tolist() == tik.encode_ordinary(rows[r.doc_id].text)
+    assert all(r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].text.encode()).hexdigest() for r in final)
 
 
 def test_pipeline_edges(spark):

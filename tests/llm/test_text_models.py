@@ -166,3 +166,91 @@ def test_mixing_edges(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
     empty = edge_docs(spark, [(1, None, "en", None, 0), (2, "", "en", "a", 0)])
     assert {tuple(r) for r in mixing.mix_report(empty).collect()} == {(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)}
+
+
+def test_mixing_splits_rows_without_an_id(spark):
+    """A source whose rows have no id, or one id and different texts, still comes near its target."""
+    rows = [(None if k % 2 else 7, f"text {k} " + "w " * (k % 9), "en", "hot", 0) for k in range(600)]
+    rows += [(k, "w w w", "en", "b", 0) for k in range(1000, 1400)] + [(None, None, "en", "hot", 0), (None, "same", "en", "hot", 0)] * 2
+    docs = edge_docs(spark, rows)
+    got = mixing.mix_report(docs).toPandas()
+    assert len(got) == len(rows)
+    for _, g in got.groupby("source_size"):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= 2 * g["size"].max()
+    mixed = mixing.mix(docs).groupBy("source").count().count()
+    assert mixed == 2
+    con = duckdb.connect()
+    documents = docs.select("doc_id", "text", "source").toPandas()          # noqa: F841
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    want = con.sql(mixing.ORACLE).df()
+    key = ["size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, got[key].values.tolist())) == sorted(map(tuple, want[key].values.tolist()))
+
+
+def hashed(token):
+    """The token hash, digit by digit."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    base, power, total = 0x9E3779B97F4A7C15, 1, 0
+    for b in token:
+        power = power * base & mask
+        total += mix((b + 1) * base & mask) * power
+    return mix((total + len(token)) & mask), mix
+
+
+def features_by_hand(text):
+    """Feature slot -> value of a text."""
+    tokens = [t.encode() for t in re.findall(r"[^\x09-\x0d\x20-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+", text.lower())]
+    mix = hashed(b"")[1]
+    h = [hashed(t)[0] for t in tokens]
+    found = h + [mix((a * 0xD6E8FEB86659FD93 + b) & ((1 << 64) - 1)) for a, b in zip(h, h[1:])]
+    found += [mix(k) for k in (1, 2) for a, b in zip(h, h[k:]) if a == b]
+    out = {}
+    for x in found:
+        slot = x >> (64 - quality_ftrl.BITS)
+        out[slot] = out.get(slot, 0) + 1
+    return {s: np.float32(n / np.sqrt(len(found))) for s, n in out.items()}
+
+
+def ftrl_by_hand(docs, labels):
+    """FTRL-proximal, one coordinate at a time."""
+    q, z, n = quality_ftrl, {}, {}
+
+    def weight(s):
+        if abs(z.get(s, 0.0)) <= q.L1:
+            return 0.0
+        return -(z[s] - np.sign(z[s]) * q.L1) / ((q.BETA + np.sqrt(n[s])) / q.ALPHA + q.L2)
+
+    rows = [features_by_hand(d) | {"bias": np.float32(1)} for d in docs]
+    rng = np.random.default_rng(7)
+    for _ in range(q.EPOCHS):
+        for i in rng.permutation(len(rows)):
+            w = {s: weight(s) for s in rows[i]}
+            p = 1 / (1 + np.exp(-sum(w[s] * x for s, x in rows[i].items())))
+            for s, x in rows[i].items():
+                g = (p - labels[i]) * x
+                sigma = (np.sqrt(n.get(s, 0.0) + g * g) - np.sqrt(n.get(s, 0.0))) / q.ALPHA
+                z[s] = z.get(s, 0.0) + g - sigma * w[s]
+                n[s] = n.get(s, 0.0) + g * g
+    return {s: weight(s) for s in z}
+
+
+def test_quality_weights_and_scores_equal_brute_force(spark):
+    r = random.Random(4)
+    words = ["the", "cat", "été", "dog!!", "a1", "...", "sat"]
+    docs = [" ".join(r.choice(words) for _ in range(r.randint(0, 25))) for _ in range(60)] + ["", "x x x x"]
+    labels = [int("cat" in d) for d in docs]
+    got, want = quality_ftrl.learn(docs, labels), ftrl_by_hand(docs, labels)
+    assert got[-1] == pytest.approx(want.pop("bias"), abs=1e-6)
+    assert set(np.flatnonzero(got[:-1])) == {s for s, x in want.items() if x}
+    for s, x in want.items():
+        assert got[s] == pytest.approx(x, abs=1e-6)
+    scored = spark.createDataFrame([(d,) for d in docs], "text string").select(quality_ftrl.scorer(got)("text")).collect()
+    for d, (s,) in zip(docs, scored):
+        dot = got[-1] + sum(got[k] * x for k, x in features_by_hand(d).items())
+        assert s == pytest.approx(1 / (1 + np.exp(-dot)), abs=1e-5)

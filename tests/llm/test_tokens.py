@@ -135,3 +135,21 @@ def test_token_files(spark):
         start += len(ids)
     assert sorted(got, key=str) == sorted(want, key=str)
     assert token_dac.round_trip(docs_of(spark, ROWS).limit(0), WORD).count() == 0
+
+
+def test_token_files_keep_texts_on_the_executors(spark):
+    """What the range sampler may send to the driver is an id, a short prefix and a hash."""
+    docs = docs_of(spark, [(k, "word " * 2000) for k in range(40)] + [(None, f"{k} no id") for k in range(40)])
+    got = token_dac.round_trip(docs, WORD).collect()
+    assert sorted((r.start, r.n_tokens) for r in got) and sum(r.doc_id is None for r in got) == 40
+    spans = sorted((r.start, r.start + r.n_tokens) for r in got)
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[0][0] == 0
+
+
+def test_memo_is_bounded_in_bytes():
+    from ratecell.llm.common import Recent
+    made = []
+    memo = Recent(lambda k: made.append(k) or k, 10)
+    for _ in range(2):
+        assert memo["x" * 101] == "x" * 101 and memo["y"] == "y"
+    assert made == ["x" * 101, "y", "x" * 101] and list(memo) == ["y"]

@@ -7,7 +7,8 @@ reread as the next one's documents. All but the last return the columns of docum
 * language: documents without letters, or unlike every learned language, go;
 * near_duplicates: one document of each class stays;
 * mixing: each document appears as often as the mix takes it (0, 1 or 2 times);
-* bpe: doc_id, n_tokens and the token ids (little-endian unsigned 32-bit) of every row.
+* bpe: doc_id, n_tokens and the token ids (little-endian unsigned 32-bit) of every row, then the SHA-256 of the
+  ids and of the UTF-8 text that streaming decoding gives back from them.
 
 Columns beyond those of documents pass through the first four stages unchanged. An empty table
 passes through all of them.
@@ -39,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_fst.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe_fst.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, check=True)
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("mixing", mix_sources),

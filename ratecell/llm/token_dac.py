@@ -104,6 +104,9 @@ def to_bytes(doc_ids: list, ends: np.ndarray, ids: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+_ONES = np.array([bin(b).count("1") for b in range(256)], np.int64)
+
+
 class Reader:
     """A file's documents and tokens."""
 
@@ -136,6 +139,22 @@ class Reader:
             i, shift = int(ranks[i // BLOCK]) + int(before), shift + 8
         return value
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The tokens at several places, by rank lookups only."""
+        value, live, i = np.zeros(len(places), np.int64), np.arange(len(places)), np.asarray(places, np.int64)
+        for k, (chunks, bits, ranks) in enumerate(self.levels):
+            value[live] |= chunks[i].astype(np.int64) << 8 * k
+            more = bits[i >> 3] >> (i & 7).astype(np.uint8) & 1 == 1
+            live, i = live[more], i[more]
+            if not len(i):
+                break
+            # ones of the place's block before the place: whole bytes, then the bits of the last one
+            byte = (i // BLOCK * (BLOCK // 8))[:, None] + np.arange(BLOCK // 8)
+            before = np.where(byte < (i >> 3)[:, None], _ONES[bits[np.minimum(byte, len(bits) - 1)]], 0).sum(axis=1)
+            before += _ONES[bits[i >> 3] & ((1 << (i & 7)) - 1).astype(np.uint8)]
+            i = ranks[i // BLOCK].astype(np.int64) + before
+        return value
+
     def tokens(self) -> np.ndarray:
         """All tokens."""
         value = np.zeros(len(self), "<u4")
@@ -199,7 +218,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                 ids, ends = r.tokens(), r.ends.astype(np.int64)
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
-                last = [r.token(b - 1) for b in ends.tolist()]
+                last = r.at(ends - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(ends), pa.string()), pa.array(r.doc_ids, pa.int64()), pa.array(starts),
                      pa.array(ends - starts), pa.array(crc, pa.int64()), pa.array(last, pa.int64())],

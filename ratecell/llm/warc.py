@@ -21,7 +21,9 @@ table writes no file.
 from __future__ import annotations
 
 import base64
+import hashlib
 import zlib
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -232,18 +234,77 @@ def reassemble(rec: DataFrame) -> DataFrame:
     return whole.unionByName(joined.withColumn("block", F.when(F.col("complete"), F.col("block"))))
 
 
-def read_pages(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
-    """page_id, record_type, refers_to, uri, payload (null for revisits), digest, complete."""
+def read_digests(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """type, id, refers, digest, payload_bytes, payload_digest of every logical record, the payloads read
+    once and not kept. Segments that lie together in a file are joined where it is read; the rest, if any, are
+    written with their blocks, meet by origin, and are verified as in ``reassemble``."""
+    ship(spark)
+    paths = [f"{folder}/{r.name}" for r in files.select("name").collect()]
+    if not paths:
+        return spark.createDataFrame([], "type string, id string, refers string, digest string, payload_bytes long, "
+                                         "payload_digest string")
+
+    def logical(fields, block):
+        payload = http_payload(block) if fields.get("warc-type") == "response" else None
+        said = None if payload is None else (len(payload), hashlib.sha1(payload).hexdigest())
+        return [*(fields.get(f) for f in _FIELDS[:5]), *(said or (None, None)), None, None, None, None]
+
+    def read(data):
+        parts = {}
+        for fields, block in records(data):
+            if "warc-segment-number" in fields:
+                origin = fields.get("warc-segment-origin-id") or fields["warc-record-id"]
+                parts.setdefault(origin, []).append((int(fields["warc-segment-number"]), fields, block))
+            else:
+                yield logical(fields, block)
+        for origin, found in parts.items():
+            found.sort(key=lambda x: x[0])
+            total = found[-1][1].get("warc-segment-total-length")
+            if [k for k, _, _ in found] == list(range(1, len(found) + 1)) and str(sum(len(b) for _, _, b in found)) == total:
+                yield logical(found[0][1], b"".join(b for _, _, b in found))
+            else:
+                for k, fields, block in found:
+                    n = fields.get("warc-segment-total-length")
+                    yield [*(fields.get(f) for f in _FIELDS[:5]), None, None, k, origin, None if n is None else int(n), block]
+
+    names = ["type", "id", "uri", "refers", "digest", "payload_bytes", "payload_digest", "segment", "origin", "total", "block"]
+    kinds = [pa.string()] * 5 + [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.binary()]
+
+    def run(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                rows = read(data.as_buffer().to_pybytes())
+                while part := list(islice(rows, 4096)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
+
+    data = spark.read.format("binaryFile").load(paths).select("content")
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, ["string"] * 5 + ["long", "string", "int", "string", "long", "binary"]))
+    got = written(data.mapInArrow(run, schema), "warc-records")
+    loose = reassemble(got.where("segment IS NOT NULL").drop("payload_bytes", "payload_digest"))
+    loose = loose.withColumn("payload", _payload()("type", "block"))
+    out = ["type", "id", "refers", "digest"]
+    return got.where("segment IS NULL").select(*out, "payload_bytes", "payload_digest").unionByName(
+        loose.select(*out, F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")))
+
+
+def _payload():
     @F.pandas_udf("binary")
     def payload(kind: pd.Series, block: pd.Series) -> pd.Series:
         return pd.Series([http_payload(bytes(b)) if k == "response" and b is not None else None
                           for k, b in zip(kind, block)], dtype=object)
 
+    return payload
+
+
+_PAGE = r"^<urn:page:(-?\d+)"
+
+
+def read_pages(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """page_id, record_type, refers_to, uri, payload (null for revisits), digest, complete."""
     r = reassemble(read_records(spark, folder, files))
-    page = r"^<urn:page:(-?\d+)"
-    return r.select(F.regexp_extract("id", page, 1).try_cast("long").alias("page_id"), F.col("type").alias("record_type"),
-                    F.regexp_extract("refers", page, 1).try_cast("long").alias("refers_to"), "uri",
-                    payload("type", "block").alias("payload"), "digest", "complete")
+    return r.select(F.regexp_extract("id", _PAGE, 1).try_cast("long").alias("page_id"), F.col("type").alias("record_type"),
+                    F.regexp_extract("refers", _PAGE, 1).try_cast("long").alias("refers_to"), "uri",
+                    _payload()("type", "block").alias("payload"), "digest", "complete")
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -251,10 +312,9 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     archives; a revisit's payload is that of the response it refers to."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
-    p = read_pages(spark, folder, write_archives(pages, folder)).select("page_id", "record_type", "refers_to", "digest",
-                                         F.octet_length("payload").cast("long").alias("payload_bytes"),
-                                         F.sha1("payload").alias("payload_digest"))
-    p = written(p, "warc-pages")        # ids and digests; the archives are read once
+    p = read_digests(spark, folder, write_archives(pages, folder)).select(
+        F.regexp_extract("id", _PAGE, 1).try_cast("long").alias("page_id"), F.col("type").alias("record_type"),
+        F.regexp_extract("refers", _PAGE, 1).try_cast("long").alias("refers_to"), "digest", "payload_bytes", "payload_digest")
     said = p.where("record_type = 'response'")
     there = (said.select(F.col("page_id").alias("refers_to"), "digest", F.col("payload_bytes").alias("b"),
                          F.col("payload_digest").alias("d")).distinct())

@@ -328,6 +328,22 @@ def test_warc_reads_only_what_was_committed(spark):
     assert warc.read_records(spark, folder, files.limit(0)).count() == 0
 
 
+def test_warc_segments_in_several_files(spark, tmp_path):
+    """Segments of one record in files of their own meet by origin; one that is missing leaves no payload."""
+    payload = bytes(random.Random(2).randrange(97, 123) for _ in range(60_000))
+    sha = hashlib.sha1(payload).hexdigest()
+    whole, broken = (warc.page_records(f"{k}:x", "u", payload, sha, None) for k in (1, 2))
+    assert len(whole) > 2
+    names = []
+    for n, parts in enumerate([[whole[1]], [whole[0], *whole[2:], *broken[:-1]], warc.page_records("3:x", "u", b"<p>", "00" * 20, None)]):
+        names.append((f"f{n}.warc.gz",))
+        (tmp_path / names[-1][0]).write_bytes(b"".join(parts))
+    files = spark.createDataFrame(names, "name string")
+    got = {r.id: (r.payload_bytes, r.payload_digest) for r in warc.read_digests(spark, str(tmp_path), files).collect()}
+    assert got == {"<urn:page:1:x>": (60_000, sha), "<urn:page:2:x>": (None, None),
+                   "<urn:page:3:x>": (3, hashlib.sha1(b"<p>").hexdigest())}
+
+
 # --- pipeline -------------------------------------------------------------------------------------------
 
 def test_pipeline(spark):

@@ -123,6 +123,8 @@ def test_dac_random_access(ids):
     assert r.tokens().tolist() == ids
     for i in range(0, len(ids), 7):
         assert r.token(i) == ids[i]
+    places = np.arange(len(ids))[::-1]
+    assert r.at(places).tolist() == ids[::-1]
 
 
 def test_token_files(spark):

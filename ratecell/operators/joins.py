@@ -4,8 +4,8 @@ Scale notes
 -----------
 * Side joins (current ⟕ proposed) are big-to-big left joins on keys that are unique on the proposed
   side. A repeated key raises: in the join's own run (``check_unique="in_flight"``, what the exhibits
-  use), by numbering the proposed rows of each key on the partitioning and order that the join needs
-  anyway, or in a job before it (``True``).
+  use), by counting the rows of each key on the partitioning that the join needs anyway, or in a job
+  before it (``True``).
 * Lookup joins (loss costs, CLEAR groups, vehicle bands) are many-to-one; the
   planner broadcasts the right side only when its measured size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and AQE's skew-join splits a hot key
@@ -22,7 +22,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecell.functions.scalars import nz
@@ -42,6 +42,8 @@ def join_sides(current: DataFrame, proposed: DataFrame, keys: Sequence[str],
     require_columns(current, keys, "current side")
     require_columns(proposed, keys, "proposed side")
     if check_unique == "in_flight":
+        if how not in ("left", "inner"):
+            raise ValueError(f"a {how} join keeps proposed rows that match nothing: check their keys before it")
         proposed = raise_on_repeats(proposed, keys, "proposed side")
     elif check_unique:
         assert_unique(proposed, keys, "proposed side")
@@ -49,14 +51,14 @@ def join_sides(current: DataFrame, proposed: DataFrame, keys: Sequence[str],
 
 
 def raise_on_repeats(df: DataFrame, keys: Sequence[str], where: str) -> DataFrame:
-    """``df``, whose job raises at the second row of a key. The window's partitioning and order are
-    those of a sort-merge join on the same keys, so that a join adds no exchange and no sort to it."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    # Null keys match nothing, so they may repeat.
+    """``df`` grouped by its keys, in a job that raises where a key has more than one row. A join on the
+    same keys needs that partitioning anyway, so that the check adds no exchange. Rows with a null among
+    their keys, which match nothing, may repeat; one of them stays."""
+    rest = [F.first(c).alias(c) for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(*rest, F.count(F.lit(1)).alias("_rows"))
     text = F.concat(F.lit(f"{where}: a key repeats on {list(keys)}: "), F.to_json(F.struct(*keys)))
-    fails = (F.col("_nth") > 1) & reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
-    return (df.withColumn("_nth", nth).where(F.when(fails, F.raise_error(text).cast("boolean")).otherwise(True))
-            .drop("_nth"))
+    fails = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.col("_rows") > 1)
+    return one.where(F.when(fails, F.raise_error(text).cast("boolean")).otherwise(True)).drop("_rows")
 
 
 def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -239,6 +239,50 @@ def test_classes_edges_and_hot_groups(spark):
     assert neardup_icws.classes(docs.limit(0)).count() == 0
 
 
+def test_cells_hold_every_pair_of_components_once_and_strays_cost_little(spark, monkeypatch):
+    monkeypatch.setattr(neardup_icws, "BLOCK", 8)
+    many = [(0, 7, n, 1000) for n in range(500)] + [(0, 7, 500, 500)]                   # one stray among copies
+    some = [(1, 8, n, n % 5) for n in range(60)] + [(2, 9, n, 1) for n in range(30)]      # the last bucket is closed
+    rows = spark.createDataFrame(many + some, "band int, key long, node long, root long")
+    cells = neardup_icws._cells(rows).collect()
+    assert sum(x.band == 0 for x in cells) == 501 + -(-501 // 8)
+    assert not [x for x in cells if x.band == 2]
+    for band, members in ((0, many), (1, some[:60])):
+        groups = {}
+        for x in cells:
+            if x.band == band:
+                groups.setdefault((x.i, x.j), []).append(x)
+        assert max(map(len, groups.values())) < 60
+        pairs = [frozenset((a.node, b.node)) for g in groups.values() for a in g if a.stray for b in g
+                 if not b.stray and a.root != b.root and (not b.out or b.node < a.node)]
+        assert len(pairs) == len(set(pairs))
+        assert set(pairs) == {frozenset((a[2], b[2])) for a in members for b in members if a[3] != b[3]}
+
+
+def test_classes_in_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(neardup_icws, "BLOCK", 4)
+    test_classes_edges_and_hot_groups(spark)
+
+
+def test_components_of_random_graphs(spark):
+    r = random.Random(12)
+    edges = [(r.randrange(3000), r.randrange(3000)) for _ in range(1400)] + [(i, i + 1) for i in range(4000, 4060)]
+    edges += [(5000, i) for i in range(5001, 5400)] + [(6000 - i, 5000 - i) for i in range(3)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = neardup_icws.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()
+    assert {x.node: x.root for x in got} == {x: find(x) for x in root if find(x) != x}
+    assert len(got) == len({x.node for x in got})
+
+
 def test_only_copies_are_dropped_whatever_the_ids(spark):
     r = random.Random(8)
     vocab = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(400)]

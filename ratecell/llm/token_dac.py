@@ -17,6 +17,7 @@ with the end id, so an empty one has one token. Extra columns are ignored. An em
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -27,9 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratecell.llm.bpe_count import BLANK, NOT_SPACE, byte_letters
+from ratecell.llm.bpe_count import SPACE, byte_letters
 from ratecell.llm.bpe_fst import pack
-from ratecell.llm.common import Recent, scratch, ship, texts, written
+from ratecell.llm.common import Recent, scratch, ship, slices, texts, written
 from ratecell.llm.files import make_folder, put
 
 END_ID = 2
@@ -38,13 +39,24 @@ TOKENS_IN_FILE = 2_000_000
 MAGIC = b"RCDA1"
 PREFIX = 32
 BLOCK = 512
-# Words of plain letters: NFC and lower case leave nothing else to do for them.
-PLAIN = regex.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,|]?)")
+# Lower-case letters that NFC leaves as they are.
+PLAIN = regex.compile("[a-zà-öø-ÿ]+")
+# White space beyond ASCII (the vocabulary's separators); a text with one of the special strings takes the plain path.
+ODD_BLANK = re.compile(f"[{SPACE[SPACE.index(chr(92) + 'x85'):]}]")
+SLICE = 1 << 22
+# What a byte is: 0 white space, 1 letter, 2 digit, 3 punctuation but the apostrophe, 4 anything else. High bytes
+# count as letters only in the two-byte letters À to ÿ.
+_KIND = np.full(256, 4, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 0
+for _b in range(33, 127):
+    _KIND[_b] = 4 if _b == 39 else 1 if chr(_b).isalpha() else 2 if chr(_b).isdigit() else 3
+_LOWER = bytes(range(256)).lower()
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library. White space always separates words in this
-    vocabulary, so pieces between it are encoded once and remembered (bounded)."""
+    """Whole texts to ids with the tokenizers library. White space always separates words in this vocabulary, as
+    does the border between a letter and a mark other than the apostrophe, and a digit stands alone; so texts
+    are cut there, each slice's different pieces are looked up once, and their ids are remembered (bounded)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,29 +64,65 @@ class Encoder:
         self.model = self.lib.model
         self.letters = dict(enumerate(byte_letters()))
         self.pieces = Recent(self.piece, MEMO)
-        self.words = Recent(self.word, MEMO)
-
-    def word(self, word: str) -> bytes:
-        """A lower-case word of plain letters, by the library's model alone."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return pack([t.id for t in self.model.tokenize(word)])
 
     def piece(self, piece: str) -> bytes:
-        m = PLAIN.fullmatch(piece)
-        if m:
-            word = self.words[m[1].lower()]
-            return word + self.pieces_of(m[2]) if m[2] else word
-        return self.pieces_of(piece)
-
-    @lru_cache(maxsize=1000)
-    def pieces_of(self, text: str) -> bytes:
+        """Ids of a piece without white space: plain letters by the library's model alone."""
+        if piece.isascii():
+            if piece.isalpha() and piece.islower():
+                return pack([t.id for t in self.model.tokenize(piece)])
+        elif PLAIN.fullmatch(lower := piece.lower()):
+            word = lower.encode().decode("latin-1").translate(self.letters)
+            return pack([t.id for t in self.model.tokenize(word)])
+        return self.whole(piece)
+
+    def whole(self, text: str) -> bytes:
         return pack(self.lib.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        parts = BLANK.split(text) if NOT_SPACE.search(text) else text.split()
-        return b"".join(map(self.pieces.__getitem__, parts))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for a, b in slices(len(texts), list(map(len, texts)), SLICE):
+            part = texts[a:b]
+            odd = {i for i, t in enumerate(part) if "<|" in t or "\u0307" in t}
+            coded = self.slice(["" if i in odd else t for i, t in enumerate(part)] if odd else part)
+            for i in odd:
+                coded[i] = self.whole(part[i])
+            out += coded
+        return out
+
+    def slice(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special strings and without the combining dot above, the one mark that makes an
+        I's lower case depend on what follows it; those texts go to the library whole."""
+        data = [(t if t.isascii() else ODD_BLANK.sub(" ", t)).encode().translate(_LOWER) for t in texts]
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        buf = np.frombuffer(b" ".join(data) + b" ", np.uint8)
+        kind = _KIND[buf]
+        lead = np.flatnonzero(buf[:-1] == 0xC3)
+        lead = lead[(buf[lead + 1] != 0x97) & (buf[lead + 1] != 0xB7)]      # the signs × and ÷
+        kind[lead] = kind[lead + 1] = 1
+        here, last = kind[1:], kind[:-1]
+        # The end of every piece: a blank, a border of kinds, or a digit after a digit.
+        cut = (here != last) & (here < 4) & (last < 4) & (last > 0) | (here == 0) | (here == 2) & (last == 2)
+        ends = np.flatnonzero(cut) + 1
+        if kind[0] == 0:
+            ends = np.append(0, ends)
+        blank = kind == 0
+        packed = buf[~blank]
+        to = (ends - (np.cumsum(blank) - blank)[ends]).astype(np.int32)
+        table = pa.StringArray.from_buffers(len(to), pa.py_buffer(np.append(np.int32(0), to)), pa.py_buffer(packed))
+        table = table.dictionary_encode()
+        which = table.indices.to_numpy()
+        ids = [self.pieces[p] if p else b"" for p in table.dictionary.to_pylist()]
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        first, ids = np.cumsum(n) - n, np.frombuffer(b"".join(ids), "<u4")
+        n = n[which]
+        upto = np.cumsum(n)
+        ids = ids[np.arange(upto[-1]) + np.repeat(first[which] - (upto - n), n)]
+        stop = upto[np.searchsorted(ends, np.cumsum(size + 1) - 1)]
+        return [ids[a:b].tobytes() for a, b in zip(np.append(0, stop[:-1]), stop)]
 
 
 @lru_cache(maxsize=2)
@@ -186,10 +234,11 @@ def write_files(docs: DataFrame, path: str, folder: str) -> DataFrame:
 
         end = pack([END_ID])
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                for d, t in zip(*(c.to_pylist() for c in batch.slice(a, 256).columns)):
+            for a in range(0, batch.num_rows, 1000):
+                doc, text = (c.to_pylist() for c in batch.slice(a, 1000).columns)
+                for d, ids in zip(doc, enc.encode_all(text)):
                     doc_ids.append(d)
-                    coded.append(enc.encode(t) + end)
+                    coded.append(ids + end)
                     size += len(coded[-1]) // 4
                     if size >= TOKENS_IN_FILE:
                         flush()

@@ -45,6 +45,17 @@ def test_word_encoder_equals_the_library():
         assert np.frombuffer(e.encode(t), "<u4").tolist() == LIB.encode(t, add_special_tokens=False).ids, ascii(t)
 
 
+def test_word_encoder_of_many_texts():
+    """Texts encoded together, cut at borders of letters, digits and marks, are those the library gives."""
+    marks = list("abzIÉß×÷'’.,|!<=>*&$#%019 \t\x1c\x85\u3000\u0301\u0307\u0338\u0327İſΣς中🙂½²\u20e3\u0661") + ["'s", "'LL", "<|endoftext|>", "<|"]
+    rng = random.Random(3)
+    texts = ODD + random_texts(2000, 4) + ["".join(rng.choices(marks, k=rng.randrange(40))) for _ in range(20000)]
+    got = token_dac.encoder(WORD).encode_all(texts)
+    for t, g in zip(texts, got, strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == LIB.encode(t, add_special_tokens=False).ids, ascii(t)
+    assert token_dac.encoder(WORD).encode_all([]) == []
+
+
 def test_transducer_equals_tiktoken():
     c = bpe_fst.codec(RANKS, public_tokenizers.PATTERN)
     for t in ODD + random_texts(3000, 2):

@@ -10,10 +10,12 @@ code lies within r are reranked by the Euclidean distance of the original vector
 precision. The radius is the one within which the sample's queries have ``COVER`` of their true
 neighbours; where a block holds fewer than k rows within it, it is widened until there are k.
 
-Every row is indexed, in blocks of about ``BLOCK_ROWS`` rows dealt by a hash of the id; the stated
-queries visit the blocks in blocks of about ``QUERY_ROWS``. Each pair of blocks returns k rows for
-each query, and the k nearest of all are kept; ties go to the smaller id. No task holds more than
-two blocks, and equal or crowded vectors are spread like any others.
+Every row is indexed, in blocks dealt by a hash of the id: a ``BLOCKS``-th of the rows, at least ``BLOCK_ROWS``
+and at most as many as fit in ``BLOCK_BYTES``. A row is shuffled once, to its block, and a block's index is
+built once; the stated queries follow it in the same sorted partition, so a task holds one block and one
+Arrow batch of queries. A query is shuffled once for each block (``BLOCKS`` times, until blocks have reached
+``BLOCK_BYTES``), which answers with k rows, and the k nearest of all are kept; ties go to the smaller id.
+Equal or crowded vectors are spread like any others.
 
 Vectors that are null, zero, of another length than most, or that hold a null or non-finite number
 take no part, nor do rows with a null id. Of rows that repeat an id the smallest vector counts. A
@@ -24,7 +26,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ BITS_IN_PART = 16
 ROTATIONS = 4
 SAMPLE = 4096
 COVER = 0.99
+BLOCKS = 64
 BLOCK_ROWS = 8192
-QUERY_ROWS = 1024
+BLOCK_BYTES = 64 << 20
 ITERATIONS = 30
 
 
@@ -151,39 +154,58 @@ def search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int
     vecs = written(vecs.where(F.size("v") == size["n"]), "ann-vectors")
     asked = vectors(queries, id_col, vec_col).where(F.size("v") == size["n"])
     asked = written(asked, "ann-queries")
-    n, nq = vecs.count(), asked.count()
+    n = vecs.count()
     codes, radius = learn(vecs, k)
-    blocks, qblocks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-nq // QUERY_ROWS))
-
-    def dealt(own, other):
-        return F.explode(F.sequence(F.lit(0), F.lit(other - 1))), F.pmod(F.xxhash64("id"), F.lit(own)).cast("int")
-
-    each, mine = dealt(blocks, qblocks)
-    rows = vecs.select("id", "v", mine.alias("block"), each.alias("qblock"))
-    each, mine = dealt(qblocks, blocks)
-    ask = asked.select("id", "v", each.alias("block"), mine.alias("qblock"))
-
-    def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            left = left.sort_values("id")
-            x, ids = np.stack(left["v"].to_numpy()), left["id"].to_numpy()
-            index, qx = Index(codes(x)), np.stack(right["v"].to_numpy())
-            qc, bits = codes(qx), codes.parts * BITS_IN_PART
-            for qid, q, c in zip(right["id"], qx, qc):
-                r = radius
-                while True:
-                    near, _ = index.within(c, r)
-                    near = near[ids[near] != qid]
-                    if len(near) >= k or r >= bits:
-                        break
-                    r = min(bits, r + codes.parts)
-                d = distances(x[near], q)
-                best = np.lexsort((ids[near], d))[:k]
-                out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[near][best], "score": d[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    got = rows.groupBy("block", "qblock").cogroup(ask.groupBy("block", "qblock")).applyInPandas(probe, schema)
+    in_block = min(max(BLOCK_ROWS, n // BLOCKS), max(1, BLOCK_BYTES // (8 * size["n"])))
+    blocks = -(-n // in_block)
+    rows = vecs.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"),
+                       "id", "v")
+    ask = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"),
+                       "id", "v")
+
+    def probe(batches):
+        block, held, index, ids, x = None, [], None, None, None
+        for batch in batches:
+            number, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((number[1:] != number[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+                if a == b:
+                    continue
+                if number[a] != block:
+                    block, held, index = number[a], [], None
+                own = batch.column(2).slice(a, b - a)
+                v = batch.column(3).slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
+                if not asks[a]:
+                    held.append((own, v))
+                elif held or index:
+                    if index is None:       # the block's rows are complete, in order of their ids
+                        ids, x = pa.concat_arrays([i for i, _ in held]), np.concatenate([r for _, r in held])
+                        held, index = [], Index(codes(x))
+                        place = {i: at for at, i in enumerate(ids.to_pylist())}
+                    yield answers(index, x, ids, place, own, v)
+
+    def answers(index, x, ids, place, own, queries):
+        asked_by, found, score = [], [], []
+        bits = codes.parts * BITS_IN_PART
+        for number, (q, c, qid) in enumerate(zip(queries, codes(queries), own.to_pylist())):
+            r, itself = radius, place.get(qid, -1)
+            while True:
+                near, _ = index.within(c, r)
+                near = near[near != itself]
+                if len(near) >= k or r >= bits:
+                    break
+                r = min(bits, r + codes.parts)
+            d = distances(x[near], q)
+            best = np.argsort(d, kind="stable")[:k]
+            asked_by.append(np.full(len(best), number))
+            found.append(near[best])
+            score.append(d[best])
+        return pa.RecordBatch.from_arrays([own.take(pa.array(np.concatenate(asked_by))),
+                                           ids.take(pa.array(np.concatenate(found))), pa.array(np.concatenate(score))],
+                                          ["query_id", "vec_id", "score"])
+
+    dealt = rows.unionByName(ask).repartition(blocks, "block").sortWithinPartitions("block", "asks", "id")
+    got = dealt.mapInArrow(probe, schema)
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (got.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -61,6 +61,26 @@ def test_neighbours_edges(spark):
     assert ann_mih.search(e.limit(0), e, "vec_id", "embedding").count() == 0
 
 
+def test_neighbours_over_many_blocks(spark, monkeypatch):
+    """Small blocks and batches, every code within the radius: the exact neighbours, whatever the blocks; ids as text."""
+    monkeypatch.setattr(ann_mih, "BLOCK_ROWS", 40)
+    learn = ann_mih.learn
+    monkeypatch.setattr(ann_mih, "learn", lambda v, k: (learn(v, k)[0], 10_000))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        r = random.Random(2)
+        rows = {f"id{i:03d}": [float(r.randrange(-2, 3)) for _ in range(5)] + [1.0] for i in range(300)}
+        e = spark.createDataFrame(list(rows.items()), "vec_id string, embedding array<double>")
+        got = {}
+        for q, rank, v, _ in ann_mih.search(e, e.where("vec_id < 'id090'"), "vec_id", "embedding", 7).collect():
+            got.setdefault(q, {})[rank] = v
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 90
+    for q, ranks in got.items():
+        assert [ranks[i] for i in range(1, 8)] == nearest(rows, q, 7)
+
+
 def test_probing_finds_every_code_within_the_radius():
     codes = np.random.default_rng(0).integers(0, 65536, (500, 4), dtype=np.uint16)
     codes[1::2] = codes[::2] ^ (1 << np.random.default_rng(1).integers(0, 16, (250, 4))).astype(np.uint16)

@@ -43,7 +43,7 @@ BLOCK = 512
 PLAIN = regex.compile("[a-zà-öø-ÿ]+")
 # White space beyond ASCII (the vocabulary's separators); a text with one of the special strings takes the plain path.
 ODD_BLANK = re.compile(f"[{SPACE[SPACE.index(chr(92) + 'x85'):]}]")
-SLICE = 1 << 22
+SLICE = 1 << 23
 # What a byte is: 0 white space, 1 letter, 2 digit, 3 punctuation but the apostrophe, 4 anything else. High bytes
 # count as letters only in the two-byte letters À to ÿ.
 _KIND = np.full(256, 4, np.uint8)
@@ -109,9 +109,8 @@ class Encoder:
         ends = np.flatnonzero(cut) + 1
         if kind[0] == 0:
             ends = np.append(0, ends)
-        blank = kind == 0
-        packed = buf[~blank]
-        to = (ends - (np.cumsum(blank) - blank)[ends]).astype(np.int32)
+        packed, blank = buf[kind > 0], kind[ends] == 0      # every blank ends a piece
+        to = (ends - np.cumsum(blank) + blank).astype(np.int32)
         table = pa.StringArray.from_buffers(len(to), pa.py_buffer(np.append(np.int32(0), to)), pa.py_buffer(packed))
         table = table.dictionary_encode()
         which = table.indices.to_numpy()
@@ -233,15 +232,25 @@ def write_files(docs: DataFrame, path: str, folder: str) -> DataFrame:
             doc_ids, coded, size, number = [], [], 0, number + 1
 
         end = pack([END_ID])
+
+        def add(rows):
+            nonlocal size
+            for (d, _), ids in zip(rows, enc.encode_all([t for _, t in rows])):
+                doc_ids.append(d)
+                coded.append(ids + end)
+                size += len(coded[-1]) // 4
+                if size >= TOKENS_IN_FILE:
+                    flush()
+
+        rows, chars = [], 0
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                doc, text = (c.to_pylist() for c in batch.slice(a, 1000).columns)
-                for d, ids in zip(doc, enc.encode_all(text)):
-                    doc_ids.append(d)
-                    coded.append(ids + end)
-                    size += len(coded[-1]) // 4
-                    if size >= TOKENS_IN_FILE:
-                        flush()
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append(row)
+                chars += len(row[1])
+                if chars >= SLICE:
+                    add(rows)
+                    rows, chars = [], 0
+        add(rows)
         if coded:
             flush()
         cols = list(zip(*done)) or [(), (), ()]

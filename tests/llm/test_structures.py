@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -450,3 +451,34 @@ def test_pipeline_edges(spark):
             got.collect()
             if name != "bpe":
                 assert got.columns == docs.columns
+
+
+def test_no_link_of_all_pairs_is_lost():
+    """The different texts of sf0.1: every pair at 0.8 or more, found by an exact prefix filter (two such texts share
+    one of the rarest shingles that hold a fifth of the weight), shares a band and isn't ruled out by its estimate."""
+    n, df, text = 0, np.zeros(1 << neardup_icws.DF_BITS, np.int64), []
+    for batch in pq.ParquetDataset("/root/testdata/sf0.1/documents.parquet").read(["text"]).to_batches(200):
+        part = [t or "" for t in batch.column(0).to_pylist()]
+        h, doc = neardup_icws._words(part)
+        df += np.bincount(np.unique(doc << neardup_icws.DF_BITS | neardup_icws._slot(h)) & (len(df) - 1), minlength=len(df))
+        n, text = n + len(part), text + part
+    text, weight, sets = [t for t in dict.fromkeys(text) if t.strip()], neardup_icws.idf(n, df), []
+    for a in range(0, len(text), 200):
+        sets += neardup_icws.shingles(text[a:a + 200], weight)
+    seen, count = np.unique(np.concatenate([s for s, _ in sets]), return_counts=True)
+    post, links = {}, []
+    for i, (s, w) in enumerate(sets):
+        often = count[np.searchsorted(seen, s)]
+        order = np.lexsort((s, often))
+        upto = np.cumsum(w[order].astype(float))
+        first = order[:np.searchsorted(upto, 0.2001 * upto[-1], side="right") + 1]
+        near = set()
+        for shingle in s[first[often[first] > 1]].tolist():
+            near.update(post.setdefault(shingle, []))
+            post[shingle].append(i)
+        links += [(i, j) for j in near if neardup_icws.similarity(sets[i], sets[j]) >= 0.8]
+    assert len(links) > 40
+    for i, j in links:
+        a, b = neardup_icws.samples([sets[i], sets[j]])
+        same = a == b
+        assert same.reshape(neardup_icws.BANDS, neardup_icws.ROWS).all(axis=1).any() and same.mean() >= neardup_icws.ESTIMATE

@@ -38,6 +38,7 @@ REVISIT_BYTES = 1000
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4096
 FILE_BYTES = 8 << 20
+READ_BYTES = 4 * 1024
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -116,10 +117,14 @@ def page_records(uid: str, url: str, payload: bytes, sha1: str, refers) -> list[
 
 def records(data: bytes):
     """(headers, block) of each record of a file of gzip members."""
-    while data:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(data) + z.flush()
-        data = z.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        z, out = zlib.decompressobj(31), []
+        while not z.eof and at < len(view):     # a piece at a time: what a member leaves over is copied
+            piece = view[at:at + READ_BYTES]
+            out.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+        raw = b"".join(out) + z.flush()
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "replace").split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}

@@ -482,3 +482,25 @@ def test_no_link_of_all_pairs_is_lost():
         a, b = neardup_icws.samples([sets[i], sets[j]])
         same = a == b
         assert same.reshape(neardup_icws.BANDS, neardup_icws.ROWS).all(axis=1).any() and same.mean() >= neardup_icws.ESTIMATE
+
+
+def test_warc_reading_feeds_each_byte_about_once(monkeypatch):
+    """A file of many small members is read in time linear in its size."""
+    whole = b"".join(warc.record("response", [("WARC-Record-ID", f"<{k}>")], b"%d" % k * 300) for k in range(2000))
+    fed, make = [], warc.zlib.decompressobj
+
+    class Counting:
+        def __init__(self, bits):
+            self.z = make(bits)
+
+        def decompress(self, data):
+            fed.append(len(data))
+            return self.z.decompress(data)
+
+        def __getattr__(self, name):
+            return getattr(self.z, name)
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    got = list(warc.records(whole))
+    assert [(f["warc-record-id"], b) for f, b in got] == [(f"<{k}>", b"%d" % k * 300) for k in range(2000)]
+    assert sum(fed) <= len(whole) + 2000 * warc.READ_BYTES

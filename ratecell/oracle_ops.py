@@ -32,19 +32,18 @@ def extract_trx():
     return ("SELECT veh_id_no, dri_id_no, pol_jurisdiction_cd, veh_product_cd, pol_commercial_in, "
             f"trx_offset_onset_cd, Prm_Ern_BI_OnLvl_End_Am FROM {BC} WHERE pol_region_cd = 'AP' "
             "AND veh_product_cd IN ('ppa') AND pol_commercial_in = 0 "
-            "AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA' "
-            "AND dat_as_of_dt = '2025-06-30' AND dat_year_type_tx = 'AY'")
+            "AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA'")
 
 
-INF_EXTRACT_WHERE = ("pol_region_cd = 'AP' AND veh_product_cd IN ('ppa', 'motor_home') "
-                     "AND pol_commercial_in = 0 AND dat_as_of_dt = '2025-06-30'")
+INF_EVERY_DATE_WHERE = "pol_region_cd = 'AP' AND veh_product_cd IN ('ppa', 'motor_home') AND pol_commercial_in = 0"
+INF_EXTRACT_WHERE = INF_EVERY_DATE_WHERE + " AND dat_as_of_dt = '2025-06-30'"
 TRX_EXTRACT_WHERE = ("pol_region_cd = 'AP' AND veh_product_cd = 'ppa' AND pol_commercial_in = 0 "
                      "AND trx_offset_onset_cd IS NOT NULL AND dat_as_of_dt = '2025-06-30' AND dat_year_type_tx = 'AY'")
 
 
 def extract_inforce():
     return _count_by(BC, "pol_jurisdiction_cd, veh_product_cd",
-                     INF_EXTRACT_WHERE + " AND pol_jurisdiction_cd IN ('AMERICA', 'EUROPE')")
+                     INF_EVERY_DATE_WHERE + " AND pol_jurisdiction_cd IN ('AMERICA', 'EUROPE')")
 
 
 def extract_loss_cost():
@@ -397,10 +396,10 @@ def rerate():
             f"{', '.join(RERATED)}, {_factor_sql()} AS f FROM {BC}) GROUP BY pol_uwcompany_cd")
 
 
-def _scored_sql() -> str:
+def _scored_sql(where: str = INF_EXTRACT_WHERE) -> str:
     lc_out = ", ".join(f"l.lc_losscost_{s}_pred_rebase AS lc_losscost_{a}_pred_am" for a, s in LC_PAIRS)
     drop = ", ".join(f"lc_losscost_{a}_pred_am" for a, _ in LC_PAIRS)
-    ext = f"(SELECT * EXCLUDE ({drop}) FROM {BC} WHERE {INF_EXTRACT_WHERE})"
+    ext = f"(SELECT * EXCLUDE ({drop}) FROM {BC} WHERE {where})"
     with_lc = f"(SELECT b.*, {lc_out} FROM {ext} b LEFT JOIN ({loss_cost_sql()}) l ON {LC_ON})"
     return f"SELECT *, {_factor_sql()} AS f FROM ({_clear_applied(with_lc, 'x')})"
 
@@ -408,7 +407,7 @@ def _scored_sql() -> str:
 def score_inforce():
     sums = ", ".join(f"SUM({p} * f) AS {p}" for p in RERATED)
     return (f"SELECT pol_jurisdiction_cd, COUNT(*) AS rows, {sums}, "
-            f"SUM(lc_losscost_total_pred_am) AS lc_total FROM ({_scored_sql()}) GROUP BY pol_jurisdiction_cd")
+            f"SUM(lc_losscost_total_pred_am) AS lc_total FROM ({_scored_sql(INF_EVERY_DATE_WHERE)}) GROUP BY pol_jurisdiction_cd")
 
 
 def merge_test():

@@ -229,3 +229,17 @@ def test_release_deletes_what_was_materialized(spark):
     assert os.path.exists(path) and df.count() == 3
     assert sinks.release(spark) >= 1 and not os.path.exists(path)
     assert sinks.release(spark) == 0
+
+
+@pytest.mark.parametrize("name", ["extract_trx", "extract_inforce", "score_inforce"])
+def test_extract_queries_keep_every_date_and_year_type(spark, name):
+    """Rows of each as-of date and year type of the book are in the query's result."""
+    from ratecell.registry import QUERIES
+    b = B.book(spark, SF0001).where("pol_region_cd = 'AP' AND pol_commercial_in = 0")
+    ppa = b.where("veh_product_cd = 'ppa' AND trx_offset_onset_cd IS NOT NULL AND pol_jurisdiction_cd = 'AMERICA'")
+    inf = b.where("veh_product_cd IN ('ppa', 'motor_home')")
+    want = {"extract_trx": ppa, "score_inforce": inf,
+            "extract_inforce": inf.where("pol_jurisdiction_cd IN ('AMERICA', 'EUROPE')")}[name]
+    got = QUERIES[name](spark, SF0001)
+    n = got.count() if name == "extract_trx" else got.agg(F.sum("rows")).first()[0]
+    assert n == want.count() > want.where("dat_as_of_dt = '2025-06-30'").count()

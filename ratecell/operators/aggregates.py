@@ -69,8 +69,9 @@ def distinct_flagged_by(df: DataFrame, keys: Sequence[str], key: str, flag: str,
 def distinct_flagged_bitmaps(df: DataFrame, keys: Sequence[str], key: str, flag: str, total: str, flagged: str,
                              explode: Sequence[Column] = (), keep: Sequence[str] = ()) -> DataFrame:
     """``distinct_flagged_by`` with bitmaps as states. The distinct keys are numbered 1..K, so that a
-    cell's keys are bits of bitmaps of 32,768 numbers: each task builds one bitmap per cell and range of
-    numbers (4 KB, however many rows and keys), these merge by OR, and a cell's counts are bit counts.
+    cell's keys are bits of bitmaps of 32,768 numbers (4 KB, however many rows and keys), and a cell's counts
+    are bit counts. The rows are moved once, by their range of numbers and before they are multiplied, so that
+    each bitmap is built in one task and none is moved.
 
     ``explode``: generators applied after the numbering (as ``explode_levels`` gives), so that rows meet
     their numbers before they are multiplied; ``keep``: the columns they and the ``keys`` need.
@@ -79,14 +80,15 @@ def distinct_flagged_bitmaps(df: DataFrame, keys: Sequence[str], key: str, flag:
     ids = row_index(df.select(key).where(F.col(key).isNotNull()).distinct(), number, [key])
     rows = df.select(*dict.fromkeys([*keep, *[c for c in keys if c in df.columns], key, flag])).join(ids, key)
     rows = rows.withColumn("_flagged", F.coalesce(F.col(flag), F.lit(0)) == 1)
+    rows = rows.withColumn("_range", F.bitmap_bucket_number(number)).repartition("_range")
     if explode:
-        rows = rows.select(*[c for c in keys if c in rows.columns], number, "_flagged", *explode)
-    # Flagged numbers get ranges of their own, so that one bitmap column holds both sets.
-    rows = rows.select(*keys, F.inline(F.array(
+        rows = rows.select(*[c for c in keys if c in rows.columns], number, "_range", "_flagged", *explode)
+    # One bitmap column holds both sets, all numbers and the flagged ones.
+    rows = rows.select(*keys, "_range", F.inline(F.array(
         F.struct(F.lit(False).alias("_of_flagged"), F.col(number).alias("_id")),
         F.struct(F.lit(True).alias("_of_flagged"), F.when(F.col("_flagged"), F.col(number)).alias("_id")))))
     rows = rows.where("_id IS NOT NULL")
-    bits = (rows.groupBy(*keys, "_of_flagged", F.bitmap_bucket_number("_id").alias("_range"))
+    bits = (rows.groupBy(*keys, "_of_flagged", "_range")
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("_bits")))
     size = F.bitmap_count("_bits")
     return bits.groupBy(*keys).agg(F.coalesce(F.sum(F.when(~F.col("_of_flagged"), size)), F.lit(0)).alias(total),

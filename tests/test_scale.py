@@ -243,3 +243,70 @@ def test_extract_queries_keep_every_date_and_year_type(spark, name):
     got = QUERIES[name](spark, SF0001)
     n = got.count() if name == "extract_trx" else got.agg(F.sum("rows")).first()[0]
     assert n == want.count() > want.where("dat_as_of_dt = '2025-06-30'").count()
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    df = sinks.materialize(spark.range(5000).groupBy((F.col("id") % 999).alias("k")).agg(F.sum("id").alias("v")), "no_shuffles")
+    assert not _shuffle_files(spark) - before and df.count() == 999
+
+
+def test_the_tables_are_joined_once_for_both_sides(spark):
+    from ratecell import registry
+    cur, prop = registry._sides(spark, SF0001)
+    for side, d in (("current", cur), ("proposed", prop)):
+        assert d._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+        plain = B.book(spark, SF0001, side)
+        assert d.columns == plain.columns and d.exceptAll(plain).isEmpty() and plain.exceptAll(d).isEmpty()
+
+
+def test_side_join_moves_totals_only(spark):
+    """The vehicle exhibit reads totals: no earned column by coverage and no claim crosses the join."""
+    plan = D.trx_by_vehicle(B.book(spark, SF0001), B.book(spark, SF0001, "proposed"))._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join LeftOuter")]
+    assert "BI_OnLvl" not in above and "clm_chap_bi" not in above and "Prm_Trm_TOT_Uncap_Am_Ern" in above
+
+
+def test_charted_levels_are_broadcast(spark, monkeypatch):
+    """Rows are not moved by level, where a chart of two levels would fill two tasks; a large chart is joined."""
+    rows = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 2).alias("v"), F.lit(8.0).alias("p"))
+    chart = [("v", 0, 0.5), ("v", 1, 2.0)]
+    table = spark.createDataFrame([("v", "0", 0.5), ("v", "1", 2.0)], "a string, b string, c double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for c in (chart, table):
+            for d in (joins.rerate(rows, c, ["p"]), joins.rerate_charts(rows, {"x": c, "y": chart}, ["p"])):
+                plan = d._jdf.queryExecution().executedPlan().toString()
+                assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(joins, "BROADCAST_LEVELS", 1)
+        large = joins.rerate(rows, chart, ["p"])
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert large.agg(F.sum("p")).first()[0] == 50 * 4.0 + 50 * 16.0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("how", ["rows", "bitmaps"])
+def test_distinct_counts_move_rows_before_they_are_multiplied(spark, how):
+    from ratecell.plans import elr
+    d = spark.range(3000).select((F.col("id") % 3).cast("string").alias("pol_uwcompany_cd"), (F.col("id") % 7).alias("a"),
+                                 F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("b"), (F.col("id") % 700).alias("q"),
+                                 (F.col("id") % 2).alias("f"))
+    got = elr._distinct(d, ["a", "b"], "q", "f", "n", "m", how)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan[plan.index("Generate posexplode"):]
+    want = {}
+    for r in d.collect():
+        for i, level in enumerate((r.a, r.b)):
+            cell = want.setdefault((r.pol_uwcompany_cd, i, None if level is None else str(level)), (set(), set()))
+            cell[0].add(r.q)
+            if r.f == 1:
+                cell[1].add(r.q)
+    assert {(r.pol_uwcompany_cd, r["_var"], r.level_value): (r.n, r.m) for r in got.collect()} == {
+        k: (len(a), len(b)) for k, (a, b) in want.items()}

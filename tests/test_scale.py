@@ -265,6 +265,67 @@ def test_the_tables_are_joined_once_for_both_sides(spark):
         assert d.columns == plain.columns and d.exceptAll(plain).isEmpty() and plain.exceptAll(d).isEmpty()
 
 
+def _exchanges(d):
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def test_sides_are_joined_bucket_by_bucket(spark):
+    """Neither the side join nor the sum by vehicle moves rows; only the exhibit's cells move."""
+    from ratecell import registry
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for build in (D.trx_by_vehicle, D.inf_by_vehicle):
+            d = build(*registry._sides(spark, SF0001))
+            n, plan = _exchanges(d)
+            assert n == 1 and "SortMergeJoin" in plan, plan
+            plain = build(B.book(spark, SF0001), B.book(spark, SF0001, "proposed"))
+            assert sorted(map(str, d.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_sides_raise_on_a_repeated_key(spark, tmp_path):
+    rows = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    for t in ("orders", "customer", "nation", "region", "part"):
+        os.symlink(f"{SF0001}/{t}.parquet", tmp_path / f"{t}.parquet")
+    rows.unionByName(rows.where("l_linenumber = 1").limit(1)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    from ratecell import registry
+    with pytest.raises(Exception, match="a key repeats"):
+        D.trx_by_vehicle(*registry._sides(spark, str(tmp_path))).collect()
+
+
+def test_a_hot_vehicle_is_not_put_into_a_bucket(spark, monkeypatch, tmp_path):
+    from ratecell import registry
+    want = sorted(map(str, D.trx_by_vehicle(*registry._sides(spark, SF0001)).collect()))
+    monkeypatch.setattr(B, "HOT_ROWS", 300)
+    monkeypatch.setattr(B, "HOT_SHARE", 0.05)
+    n, hot = B._vehicle_sizes(spark, SF0001)
+    assert n == spark.read.parquet(f"{SF0001}/lineitem.parquet").count() and not hot
+    for t in ("orders", "customer", "nation", "region", "part"):
+        os.symlink(f"{SF0001}/{t}.parquet", tmp_path / f"{t}.parquet")
+    lines = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    one = lines.select("l_orderkey").first()[0]
+    lines.withColumn("l_orderkey", F.when(F.pmod(F.xxhash64(*lines.columns), F.lit(5)) == 0, one).otherwise(F.col("l_orderkey"))
+                     ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert B._vehicle_sizes(spark, str(tmp_path)) == (n, True)
+    rows = B.vehicle_rows(spark, str(tmp_path))
+    assert rows.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    monkeypatch.setattr(B, "HOT_SHARE", -1)
+    monkeypatch.setattr(B, "HOT_ROWS", -1)              # every slot counts as hot: rows move by all keys
+    assert sorted(map(str, D.trx_by_vehicle(*registry._sides(spark, SF0001)).collect())) == want
+
+
+def test_bucketed_rows_are_released(spark):
+    rows = B.vehicle_rows(spark, SF0001)
+    path = os.path.dirname(rows.inputFiles()[0].replace("file://", ""))
+    names = {t.name for t in spark.catalog.listTables()}
+    assert sinks.release(spark) >= 1 and not os.path.exists(path)
+    gone = names - {t.name for t in spark.catalog.listTables()}
+    assert any(g.startswith("book_rows_") for g in gone)
+
+
 def test_side_join_moves_totals_only(spark):
     """The vehicle exhibit reads totals: no earned column by coverage and no claim crosses the join."""
     plan = D.trx_by_vehicle(B.book(spark, SF0001), B.book(spark, SF0001, "proposed"))._jdf.queryExecution().optimizedPlan().toString()

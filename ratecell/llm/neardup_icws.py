@@ -50,6 +50,7 @@ ROWS, BANDS = 4, 10
 K = ROWS * BANDS
 ESTIMATE = 0.5
 BLOCK = 512
+STEP = 64                   # strays compared at once
 _ADD = mix(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _ORDER = mix(np.arange(100, 100 + WORDS_IN_SHINGLE, dtype=np.uint64)) | np.uint64(1)
 _PART = 1 << 12
@@ -349,18 +350,24 @@ def _compare(exact: bool, threshold: float):
                 cache[node[q]] = _unpack(pdf["blob"].iat[q])
             return cache[node[q]]
 
-        for x in range(first, len(pdf)):
-            # of two strays the one with the larger number is the stray
-            y = np.flatnonzero((comp[:first] != comp[x]) & (~out[:first] | (node[:first] < node[x])))
-            same = sig[y] == sig[x]
-            # a pair is compared in the first band that it shares
-            shared = same.reshape(len(y), BANDS, ROWS).all(axis=2)
-            y = y[(same.mean(axis=1) >= ESTIMATE) & ~shared[:, :band].any(axis=1)]
-            if exact:
-                found += [(node[x], node[z]) for z in y if similarity(blob(x), blob(z)) >= threshold]
-            elif len(y):
-                hit[x] = True
-                hit[y] = True
+        by_sample = np.ascontiguousarray(sig[:first].T)
+        for a in range(first, len(pdf), STEP):
+            strays = sig[a:a + STEP]
+            hits = np.zeros((len(strays), first), np.uint8)
+            for k in range(K):
+                hits += by_sample[k] == strays[:, k, None]
+            for x, hit_x in enumerate(hits, a):
+                y = np.flatnonzero(hit_x >= ESTIMATE * K)
+                # of two strays the one with the larger number is the stray
+                y = y[(comp[y] != comp[x]) & (~out[y] | (node[y] < node[x]))]
+                # a pair is compared in the first band that it shares
+                shared = (sig[y] == sig[x]).reshape(len(y), BANDS, ROWS).all(axis=2)
+                y = y[~shared[:, :band].any(axis=1)]
+                if exact:
+                    found += [(node[x], node[z]) for z in y if similarity(blob(x), blob(z)) >= threshold]
+                elif len(y):
+                    hit[x] = True
+                    hit[y] = True
         if exact:
             return pd.DataFrame(found, columns=["a", "b"])
         return pdf.loc[hit, ["band", "key", "i", "j", "node", "root", "out", "stray"]]

@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -211,6 +212,31 @@ def test_peeling_recovers_both_sides_and_retries(spark):
 
 # --- near-duplicates ----------------------------------------------------------------------------------
 
+def test_cells_compare_each_pair_of_components_once():
+    """More strays than are compared at once, among members that some bands leave out."""
+    nd, rng = neardup_icws, np.random.default_rng(5)
+    base = rng.integers(0, 2 ** 32, (6, nd.K), dtype=np.uint32)
+    members, strays = 150, 2 * nd.STEP + 9
+    sig = base[rng.integers(0, 6, members + strays)]
+    other = rng.random(sig.shape) < 0.35
+    sig[other] = rng.integers(0, 2 ** 32, other.sum(), dtype=np.uint32)
+    node = np.r_[np.arange(members), np.arange(1000, 1000 + strays)]
+    out = np.r_[rng.random(members) < 0.3, np.ones(strays, bool)]
+    root = np.where(rng.random(members + strays) < 0.2, 0, node)
+    stray = np.r_[np.zeros(members, bool), np.ones(strays, bool)]
+    pdf = pd.DataFrame({"band": 3, "key": 1, "i": 0, "j": 0, "node": node, "root": root, "out": out, "stray": stray,
+                        "sig": [r.tobytes() for r in sig]})
+    want = set()
+    for x in range(members, members + strays):
+        for y in range(members):
+            same = sig[x] == sig[y]
+            earlier = same.reshape(nd.BANDS, nd.ROWS).all(axis=1)[:3].any()
+            if root[x] != root[y] and (not out[y] or node[y] < node[x]) and same.mean() >= nd.ESTIMATE and not earlier:
+                want |= {node[x], node[y]}
+    assert 20 < len(want) < members + strays
+    assert set(nd._compare(False, 0.8)((3, 1, 0, 0), pdf.sample(frac=1, random_state=1))["node"]) == want
+
+
 def classes_by_hand(rows, n, df):
     """Connected components of all pairs."""
     ids, text = [d for d, _ in rows], [t or "" for _, t in rows]

@@ -7,7 +7,8 @@ pushed. Each merge leaves one symbol less, so the count is the initial symbols m
 no identifiers are made.
 
 Text is prepared as the vocabulary's file says: special strings first (one token each), then NFC,
-white space, lower case and the split into words. Counts of pieces are kept in bounded memos.
+white space, lower case and the split into words. Counts of pieces are kept in bounded memos. Pieces with
+characters newer than Python's tables are split by the library itself, whose tables may be of another version.
 Null texts count as empty: 0 bytes, 0 tokens. Repeated rows count alike; extra columns are
 ignored; nothing is truncated.
 """
@@ -56,6 +57,7 @@ class Counter:
         letters = byte_letters()
         self.inner = [self.vocab[c] for c in letters]
         self.last = [self.vocab[c + self.end] for c in letters]
+        self.path, self.lib, self.byte = path, None, {c: b for b, c in enumerate(letters)}
         self.words = Recent(self.word, MEMO)
         self.chunks = Recent(self.chunk, MEMO)
 
@@ -97,12 +99,22 @@ class Counter:
 
     def chunk(self, chunk: str) -> int:
         """Tokens of a text without white space."""
+        if not chunk.isascii() and "Cn" in map(unicodedata.category, chunk):
+            return sum([self.words[w] for w in self.split(chunk)])
         s = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
         # Letter by letter where lower() would look at a letter's neighbours.
         s = s.lower() if "Σ" not in s else "".join(map(str.lower, s))
         words = self.words
         return sum([words[w] for w in WORD.findall(s)])
 
+    def split(self, chunk: str) -> list[str]:
+        """The words of a text without white space, as the library splits it."""
+        if self.lib is None:
+            from tokenizers import Tokenizer
+            self.lib = Tokenizer.from_file(self.path)
+        s = self.lib.normalizer.normalize_str(chunk.encode("utf-8", "replace").decode())
+        return [bytes(map(self.byte.__getitem__, w)).decode() for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(s)]
+
     def plain(self, text: str) -> int:
         parts = BLANK.split(text) if NOT_SPACE.search(text) else text.split()
         return sum(map(self.chunks.__getitem__, parts))

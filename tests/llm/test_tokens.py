@@ -73,6 +73,14 @@ def test_any_text(text):
     assert bpe_count.counter(WORD).count(text) == len(LIB.encode(text, add_special_tokens=False).ids)
 
 
+def test_counts_of_new_characters():
+    """Characters that the regex package knows as letters or digits, Python's or the library's tables not yet."""
+    c = bpe_count.counter(WORD)
+    for i in [0x558, 0x58B, 0x88F, 0x1C89, 0xA7CB, 0xA7DC, 0x105C0, 0x10D40, 0x10D50, 0x1CCF0, 0x1E6C0, 0x323B0, 0x3347F, 0x378, 0xE0080]:
+        for t in ("Ô" + chr(i), f"a{chr(i)}B 1{chr(i)}.{chr(i)}É", chr(i) * 3 + "\u0301"):
+            assert c.count(t) == len(LIB.encode(t, add_special_tokens=False).ids), ascii(t)
+
+
 def test_transducer_with_small_tables():
     """Few states: the tables start anew all the time; ties and repeats of a toy vocabulary."""
     ranks = {bytes([b]): b for b in range(256)}

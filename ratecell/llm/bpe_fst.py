@@ -21,7 +21,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecell.llm.common import Recent, ship, texts
+from ratecell.llm.common import Recent, kept_between_tasks, ship, texts
 
-MEMO = 400_000
+MEMO = 250_000
 STATES = 150_000
 _NO = 1 << 60
 
@@ -242,7 +241,7 @@ class Codec:
         return "".join(self.stream(ids))
 
 
-@lru_cache(maxsize=2)
+@kept_between_tasks
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 

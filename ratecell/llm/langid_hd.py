@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecell.llm.common import free_name, held_out, ship, slices, texts
+from ratecell.llm.common import drop_tables, free_name, held_out, ship, slices, texts
 
 DIM = 4096
 SEED = 11
@@ -125,6 +125,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
             .select("lang", "text"))
 
     def bundle(batches):
+        drop_tables()
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, docs_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -159,6 +160,7 @@ def predictor(model: tuple[list[str], np.ndarray, np.ndarray]):
 
     @F.pandas_udf("lang string, score double, share double")
     def predict(text: pd.Series) -> pd.DataFrame:
+        drop_tables()
         docs = text.fillna("").tolist()
         lang, score, share = np.full(len(docs), "und", dtype=object), np.zeros(len(docs)), np.zeros(len(docs))
         for a, b in _batches(docs) if names else ():

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecell.llm.common import WORDS, free_name, mix, ship, slices, texts, token_hashes, written
+from ratecell.llm.common import WORDS, drop_tables, free_name, mix, ship, slices, texts, token_hashes, written
 
 WORDS_IN_SHINGLE = 5
 THRESHOLD = 0.8
@@ -74,6 +74,7 @@ def document_frequency(docs: DataFrame) -> tuple[int, np.ndarray]:
     ship(docs.sparkSession)
 
     def count(batches):
+        drop_tables()
         df, n = np.zeros(1 << DF_BITS, np.int64), 0
         for batch in batches:
             col = batch.column(1).to_pylist()
@@ -251,6 +252,7 @@ def sketches(docs: DataFrame, weight: np.ndarray) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        drop_tables()
         for batch in batches:
             col = batch.column(2).to_pylist()
             for a, b in slices(len(col), [len(t) for t in col], 1 << 19):
@@ -398,6 +400,7 @@ def _labelled(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 
     @F.pandas_udf("binary")
     def blob(text: pd.Series) -> pd.Series:
+        drop_tables()
         out, col = [], text.tolist()
         for a, b in slices(len(col), [len(t) for t in col]):
             out += map(_pack, shingles(col[a:b], weight))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecell.llm.common import MARKS, free_name, held_out, mix, ship, slices, texts, token_hashes
+from ratecell.llm.common import MARKS, drop_tables, free_name, held_out, mix, ship, slices, texts, token_hashes
 
 BITS = 18
 MAX_LABELLED = 16384
@@ -90,6 +90,7 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     shards = -(-min(total, MAX_LABELLED) // SHARD)
 
     def fit(pdf):
+        drop_tables()
         pdf = pdf.sort_values(["doc_id", "text"])       # the same order wherever the task runs
         return pd.DataFrame({"n": [len(pdf)], "w": [learn(pdf.text.tolist(), pdf.y.tolist()).tobytes()]})
 
@@ -108,6 +109,7 @@ def scorer(weights: np.ndarray | None):
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
+        drop_tables()
         docs = text.fillna("").tolist()
         if w is None:
             return pd.Series(np.full(len(docs), 0.5))

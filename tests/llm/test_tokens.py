@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -12,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ratecell.llm import bpe_count, bpe_fst, token_dac
+from ratecell.llm import bpe_count, bpe_fst, langid_hd, quality_ftrl, token_dac
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -174,3 +176,14 @@ def test_memo_is_bounded_in_bytes():
     for _ in range(2):
         assert memo["x" * 101] == "x" * 101 and memo["y"] == "y"
     assert made == ["x" * 101, "y", "x" * 101] and list(memo) == ["y"]
+
+
+def test_other_operators_drop_the_codec(spark):
+    """A Python worker that goes on to another operator's tasks doesn't hold the codec's tables any longer."""
+    text = pd.Series(["some text", ""])
+    none = ([], np.zeros((0, langid_hd.DIM), np.float32), np.zeros(0))
+    for task in (quality_ftrl.scorer(None).func, langid_hd.predictor(none).func):
+        codec = weakref.ref(bpe_fst.codec(RANKS, public_tokenizers.PATTERN))
+        assert codec() is bpe_fst.codec(RANKS, public_tokenizers.PATTERN)
+        assert len(task(text)) == 2
+        assert codec() is None

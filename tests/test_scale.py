@@ -317,6 +317,43 @@ def test_a_hot_vehicle_is_not_put_into_a_bucket(spark, monkeypatch, tmp_path):
     assert sorted(map(str, D.trx_by_vehicle(*registry._sides(spark, SF0001)).collect())) == want
 
 
+def test_group_totals_of_a_bucketed_table_join_without_exchange(spark):
+    """Totals of a table bucketed on a key are summed and joined bucket by bucket; nulls in other keys are a group."""
+    rows = [(i % 40, None if i % 3 == 0 else i % 2, float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, j int, v double").repartition(8, "k")
+    totals, bucketed = {"t": F.col("v"), "m": F.col("v") * 2}, ("k", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for share in (windows.HOT_SHARE, 0.5):          # every group is hot, or none
+            got = windows.with_group_totals_split(sinks.materialize(df, "bucketed", bucketed), ["k", "j"], totals, share, bucketed)
+            n, plan = _exchanges(got)
+            assert n == 0 and "SortMergeJoin" in plan, plan
+            want = windows.with_group_totals(df, ["k", "j"], totals, method="window")
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["vehicle_window_totals", "band_back_join"])
+def test_vehicle_totals_move_no_rows(spark, monkeypatch, name):
+    """Only the exhibit's cells are moved after the side join, and a hot vehicle's rows still give the same."""
+    from ratecell import registry
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = registry.QUERIES[name](spark, SF0001)
+        n, plan = _exchanges(d)
+        assert n == 1 and "SortMergeJoin" in plan, plan
+        got = sorted(map(str, d.collect()))
+        monkeypatch.setattr(B, "HOT_SHARE", -1)
+        monkeypatch.setattr(B, "HOT_ROWS", -1)
+        assert B.vehicle_rows_buckets(spark, SF0001)[1] is None
+        assert sorted(map(str, registry.QUERIES[name](spark, SF0001).collect())) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_bucketed_rows_are_released(spark):
     rows = B.vehicle_rows(spark, SF0001)
     path = os.path.dirname(rows.inputFiles()[0].replace("file://", ""))

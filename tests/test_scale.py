@@ -354,6 +354,27 @@ def test_vehicle_totals_move_no_rows(spark, monkeypatch, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_driver_exhibit_moves_its_cells_only(spark):
+    """The side join, the vehicles' bands and the join back to the drivers run bucket by bucket, and only the
+    parts of the totals are moved."""
+    from ratecell import registry
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = registry.QUERIES["dislocation_trx_driver_cuts"](spark, SF0001)
+        n, plan = _exchanges(d)
+        assert n == 1 and plan.count("SortMergeJoin") >= 3, plan
+        got = sorted(map(str, d.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plain = D.trx_by_driver(B.book(spark, SF0001), B.book(spark, SF0001, "proposed"), bounds=registry.WIDE_BOUNDS,
+                            c_variables=registry.CUTS, drop_occasional_principal=True)
+    assert got == sorted(map(str, plain.collect()))
+    for side, total in (("", "Prm_Trm_Base_Uncap_Am_Sum"), ("_Prop", "Prm_Trm_Dri_Base_Uncap_Am_Prop_Sum")):
+        parts = [F.col(f"Prm_Trm_{shown}_Uncap_Am{side}_Sum") for _, shown in spec.DRIVER_ALIASES]
+        assert d.where(F.col(total) != sum(parts, F.lit(0.0))).isEmpty()
+
+
 def test_bucketed_rows_are_released(spark):
     rows = B.vehicle_rows(spark, SF0001)
     path = os.path.dirname(rows.inputFiles()[0].replace("file://", ""))

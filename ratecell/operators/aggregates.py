@@ -66,6 +66,48 @@ def distinct_flagged_by(df: DataFrame, keys: Sequence[str], key: str, flag: str,
                                       F.sum("_f").cast("long").alias(flagged))
 
 
+def distinct_flagged_levels(df: DataFrame, group: str, variables: Sequence[str], key: str, flag: str, total: str,
+                            flagged: str, buckets: int) -> DataFrame:
+    """``distinct_flagged_by`` of the cells (``group``, variable index, level) that ``explode_levels`` makes, for
+    keys of which none holds so many rows that they should not meet in one array (``key_buckets``). Rows are moved once, by
+    key into ``buckets`` partitions. A key's rows in a group are gathered and each variable's levels made distinct there, so that what is
+    multiplied has no repeats and no state is kept per cell and key."""
+    levels = [F.col(v).cast("string").alias(f"v{i}") for i, v in enumerate(variables)]
+    rows = df.select(group, key, flag, *variables).where(F.col(key).isNotNull()).repartition(buckets, key)
+    rows = rows.select(group, key, F.struct((F.coalesce(F.col(flag), F.lit(0)) == 1).alias("f"), *levels).alias("_row"))
+    found = rows.groupBy(group, key).agg(F.collect_list("_row").alias("_all"),
+                                         F.count_if("_row.f").alias("_f")).withColumn("_rows", F.size("_all"))
+
+    def sets(n: Column, m: Column, of: Column) -> Column:
+        return F.struct(n.alias("_n"), m.alias("_m"),
+                        F.array(*[F.array_distinct(of.getField(f"v{i}")) for i in range(len(levels))]).alias("_sets"))
+
+    whole = sets(F.lit(1), (F.col("_f") == F.col("_rows")).cast("int"), F.col("_all"))
+    part = sets(F.lit(0), F.lit(1), F.filter("_all", lambda r: r["f"]))
+    mixed = (F.col("_f") > 0) & (F.col("_f") < F.col("_rows"))
+    d = found.select(group, F.inline(F.when(mixed, F.array(whole, part)).otherwise(F.array(whole))))
+    d = d.select(group, "_n", "_m", F.posexplode("_sets").alias("_var", "_set"))
+    d = d.select(group, "_var", "_n", "_m", F.explode("_set").alias("level_value"))
+    return d.groupBy(group, "_var", "level_value").agg(F.sum("_n").alias(total), F.sum("_m").alias(flagged))
+
+
+KEY_SLOTS, KEY_ROWS, BUCKET_ROWS = 4096, 10_000, 500_000
+
+
+def key_buckets(df: DataFrame, key: str) -> int | None:
+    """Into how many partitions to move the rows by ``key``, with about ``BUCKET_ROWS`` at most in one; ``None`` where a
+    key may hold very many rows: a slot of hashed keys has more than twice the mean and ``KEY_ROWS``."""
+    n = (df.select(key).where(F.col(key).isNotNull()).groupBy(F.pmod(F.xxhash64(key), F.lit(KEY_SLOTS)).alias("slot"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    rows, most = n.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    return None if most > 2 * rows / KEY_SLOTS + KEY_ROWS else _buckets(df, rows)
+
+
+def _buckets(df: DataFrame, rows: int) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return partitions * max(1, -(-rows // (BUCKET_ROWS * partitions)))
+
+
 def distinct_flagged_bitmaps(df: DataFrame, keys: Sequence[str], key: str, flag: str, total: str, flagged: str,
                              explode: Sequence[Column] = (), keep: Sequence[str] = ()) -> DataFrame:
     """``distinct_flagged_by`` with bitmaps as states. The distinct keys are numbered 1..K, so that a

@@ -429,3 +429,46 @@ def test_distinct_counts_move_rows_before_they_are_multiplied(spark, how):
                 cell[1].add(r.q)
     assert {(r.pol_uwcompany_cd, r["_var"], r.level_value): (r.n, r.m) for r in got.collect()} == {
         k: (len(a), len(b)) for k, (a, b) in want.items()}
+
+
+def _mixed_keys(spark):
+    """Keys with flagged and other rows in a cell, null levels, keys, flags and companies."""
+    rows = [("ab"[i % 2] if i % 11 else None, None if i % 7 == 0 else i % 3, str(i % 4) if i % 5 else None,
+             None if i % 13 == 0 else i % 37, None if i % 3 == 0 else i % 2) for i in range(800)]
+    return spark.createDataFrame(rows, "pol_uwcompany_cd string, a int, b string, q int, f int"), rows
+
+
+@pytest.mark.parametrize("how, hot", [("rows", False), ("rows", True)])
+def test_distinct_counts_with_mixed_flags_and_nulls(spark, monkeypatch, how, hot):
+    """Without a hot key no state is kept per cell and key: a hash aggregate holds cells."""
+    from ratecell.plans import elr
+    monkeypatch.setattr(aggregates, "KEY_ROWS", -10_000 if hot else aggregates.KEY_ROWS)
+    d, rows = _mixed_keys(spark)
+    got = elr._distinct(d, ["a", "b"], "q", "f", "n", "m", how)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    assert ("collect_list" in plan) != hot
+    want = {}
+    for c, a, b, q, f in rows:
+        for i, level in enumerate((a, b)):
+            if q is not None:
+                cell = want.setdefault((c, i, None if level is None else str(level)), (set(), set()))
+                cell[0].add(q)
+                if f == 1:
+                    cell[1].add(q)
+    assert {(r.pol_uwcompany_cd, r["_var"], r.level_value): (r.n, r.m) for r in got.collect()} == {
+        k: (len(a), len(b)) for k, (a, b) in want.items()}
+    assert elr._distinct(d.limit(0), ["a", "b"], "q", "f", "n", "m", how).isEmpty()
+
+
+def test_long_elr_prepares_rows_before_it_multiplies_them(spark, monkeypatch):
+    """The prep is a projection of its own under the multiplied rows, and each source's cells are written."""
+    from ratecell.plans import elr
+    plans = []
+    monkeypatch.setattr(elr, "materialize", lambda df, name: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or sinks.materialize(df, name))
+    elr.elr_long(B.book(spark, SF0001), closing=B.closing(spark, SF0001), retention=B.retention(spark, SF0001),
+                 province=spec.ALL_PROVINCES)
+    assert len(plans) == 3
+    between = plans[0][plans[0].index("Generate posexplode"):]
+    assert between.index("Coalesce") < between.index("CASE WHEN")

@@ -4,12 +4,12 @@ aggregation, so a hot group is pre-reduced in every task before the shuffle."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecell.operators.windows import row_index
-
 
 def sums(cols: Iterable[str], nz_first: bool = False) -> list[Column]:
     """``sum(c) AS c`` per column (null-skipping; an all-null cell stays null)."""
@@ -108,30 +108,36 @@ def _buckets(df: DataFrame, rows: int) -> int:
     return partitions * max(1, -(-rows // (BUCKET_ROWS * partitions)))
 
 
+RANGE, WORDS = 32_768, 8
+
+
 def distinct_flagged_bitmaps(df: DataFrame, keys: Sequence[str], key: str, flag: str, total: str, flagged: str,
                              explode: Sequence[Column] = (), keep: Sequence[str] = ()) -> DataFrame:
-    """``distinct_flagged_by`` with bitmaps as states. The distinct keys are numbered 1..K, so that a
-    cell's keys are bits of bitmaps of 32,768 numbers (4 KB, however many rows and keys), and a cell's counts
-    are bit counts. The rows are moved once, by their range of numbers and before they are multiplied, so that
-    each bitmap is built in one task and none is moved.
+    """``distinct_flagged_by`` with bitmaps as states. The rows are moved once, before they are multiplied, by
+    ranges of hashed keys with about 32,768 keys at most. In a range the distinct keys are numbered, so that a
+    cell's keys are bits of bitmaps of ``WORDS`` times 64 numbers, and a cell's counts are bit counts. The bitmaps'
+    words are plain columns, which a hash aggregate updates in place: the multiplied rows are neither sorted nor moved.
 
-    ``explode``: generators applied after the numbering (as ``explode_levels`` gives), so that rows meet
+    ``explode``: generators applied after the numbering (as ``explode_levels`` gives), so that rows get
     their numbers before they are multiplied; ``keep``: the columns they and the ``keys`` need.
     """
-    number = "_number"
-    ids = row_index(df.select(key).where(F.col(key).isNotNull()).distinct(), number, [key])
-    rows = df.select(*dict.fromkeys([*keep, *[c for c in keys if c in df.columns], key, flag])).join(ids, key)
-    rows = rows.withColumn("_flagged", F.coalesce(F.col(flag), F.lit(0)) == 1)
-    rows = rows.withColumn("_range", F.bitmap_bucket_number(number)).repartition("_range")
-    if explode:
-        rows = rows.select(*[c for c in keys if c in rows.columns], number, "_range", "_flagged", *explode)
-    # One bitmap column holds both sets, all numbers and the flagged ones.
-    rows = rows.select(*keys, "_range", F.inline(F.array(
-        F.struct(F.lit(False).alias("_of_flagged"), F.col(number).alias("_id")),
-        F.struct(F.lit(True).alias("_of_flagged"), F.when(F.col("_flagged"), F.col(number)).alias("_id")))))
-    rows = rows.where("_id IS NOT NULL")
-    bits = (rows.groupBy(*keys, "_of_flagged", "_range")
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("_bits")))
-    size = F.bitmap_count("_bits")
-    return bits.groupBy(*keys).agg(F.coalesce(F.sum(F.when(~F.col("_of_flagged"), size)), F.lit(0)).alias(total),
-                                   F.coalesce(F.sum(F.when(F.col("_of_flagged"), size)), F.lit(0)).alias(flagged))
+    rows = df.select(*dict.fromkeys([*keep, *[c for c in keys if c in df.columns], key, flag])).where(F.col(key).isNotNull())
+    n = rows.select(key).count()
+    buckets, ranges = _buckets(df, n), max(1, -(-n // RANGE))          # of rows: there are no more keys
+    rows = rows.withColumn("_range", F.pmod(F.xxhash64(key), F.lit(ranges))).repartition(buckets, "_range")
+    number = F.dense_rank().over(Window.partitionBy("_range").orderBy(key)) - 1
+    rows = rows.withColumn("_number", number).withColumn("_flagged", F.coalesce(F.col(flag), F.lit(0)) == 1)
+    bits = [c for c in keys if c in rows.columns]
+    rows = rows.select(*bits, "_range", F.expr(f"_number div {64 * WORDS}").alias("_block"),
+                       F.expr(f"_number div 64 % {WORDS}").alias("_word"), "_flagged",
+                       F.expr("shiftleft(1L, _number % 64)").alias("_bit"), *explode)
+    words = [F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("long")) for w in range(WORDS)]
+    none = F.lit(0).cast("long")
+    maps = rows.groupBy(*keys, "_range", "_block").agg(
+        *[F.bit_or(w).alias(f"_a{i}") for i, w in enumerate(words)],
+        *[F.bit_or(F.when(F.col("_flagged"), w).otherwise(none)).alias(f"_f{i}") for i, w in enumerate(words)])
+
+    def size(which: str) -> Column:
+        return F.sum(reduce(add, [F.bit_count(f"{which}{i}") for i in range(WORDS)]))
+
+    return maps.groupBy(*keys).agg(size("_a").alias(total), size("_f").alias(flagged))

@@ -438,16 +438,20 @@ def _mixed_keys(spark):
     return spark.createDataFrame(rows, "pol_uwcompany_cd string, a int, b string, q int, f int"), rows
 
 
-@pytest.mark.parametrize("how, hot", [("rows", False), ("rows", True)])
+@pytest.mark.parametrize("how, hot", [("rows", False), ("rows", True), ("bitmaps", False)])
 def test_distinct_counts_with_mixed_flags_and_nulls(spark, monkeypatch, how, hot):
-    """Without a hot key no state is kept per cell and key: a hash aggregate holds cells."""
+    """Without a hot key no state is kept per cell and key: a hash aggregate holds cells or blocks of bitmaps."""
     from ratecell.plans import elr
     monkeypatch.setattr(aggregates, "KEY_ROWS", -10_000 if hot else aggregates.KEY_ROWS)
+    monkeypatch.setattr(aggregates, "RANGE", 50)            # several ranges
     d, rows = _mixed_keys(spark)
     got = elr._distinct(d, ["a", "b"], "q", "f", "n", "m", how)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
-    assert ("collect_list" in plan) != hot
+    if how == "bitmaps":
+        assert "SortAggregate" not in plan and "bit_or" in plan
+    else:
+        assert ("collect_list" in plan) != hot
     want = {}
     for c, a, b, q, f in rows:
         for i, level in enumerate((a, b)):

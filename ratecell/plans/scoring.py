@@ -91,22 +91,29 @@ def score_inforce_charts(inforce: DataFrame, loss_cost: DataFrame, clear: DataFr
 
 
 def write_scored(scored: DataFrame, source: DataFrame, path: str, run: str, charts: Sequence[str],
-                 keys: Sequence[str]) -> None:
+                 keys: Sequence[str], bucketed: tuple[str, int] | None = None) -> dict[str, DataFrame]:
     """Write scored rows into the table folder ``path``, one partition per chart, and test the merge on
     rows: each partition written must hold the source's keys, no more and no fewer. Charts not scored now
-    keep their files, so that one chart can be scored again without the others."""
+    keep their files, so that one chart can be scored again without the others. Returns the charts' rows;
+    ``bucketed``: how a new folder is bucketed, so that they join without an exchange."""
     from ratecell.operators.checks import same_row_set
     from ratecell.sources.sinks import save_partitions
-    save_partitions(scored, path, "chart", run)
-    for chart in charts:
-        got = same_row_set(source, chart_side(source.sparkSession, path, chart), keys).first()
+    written = save_partitions(scored, path, "chart", run, bucketed)
+    sides = {chart: _of_chart(written, chart) for chart in charts}
+    for chart, side in sides.items():
+        got = same_row_set(source, side, keys).first()
         if not got["same_keys"]:
             raise ValueError(f"scoring on {chart} changed the rows: {got['left_rows']:,} -> {got['right_rows']:,}")
+    return sides
+
+
+def _of_chart(written: DataFrame, chart: str) -> DataFrame:
+    return written.where(F.col("chart") == chart).drop("chart", "run_id")
 
 
 def chart_side(spark, path: str, chart: str) -> DataFrame:
     """The rows of one chart from a table folder of scored rows (only its partition is read)."""
-    return spark.read.parquet(path).where(F.col("chart") == chart).drop("chart", "run_id")
+    return _of_chart(spark.read.parquet(path), chart)
 
 
 def two_chart_summary(trx: DataFrame, inforce: DataFrame, loss_cost: DataFrame, clear: DataFrame, current,

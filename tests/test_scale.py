@@ -476,3 +476,19 @@ def test_long_elr_prepares_rows_before_it_multiplies_them(spark, monkeypatch):
     assert len(plans) == 3
     between = plans[0][plans[0].index("Generate posexplode"):]
     assert between.index("Coalesce") < between.index("CASE WHEN")
+
+
+def test_two_charts_write_the_extract_only_and_join_without_exchange(spark, monkeypatch):
+    """Rows outside the extract are not written, and the charts' sides join and are summed bucket by bucket."""
+    from ratecell import registry
+    written, build = [], B.vehicle_rows_buckets
+    monkeypatch.setattr(B, "vehicle_rows_buckets", lambda *a: written.append(build(*a)) or written[-1])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = registry.QUERIES["dislocation_two_charts"](spark, SF0001)
+        n, plan = _exchanges(d)
+        assert n == 1 and "SortMergeJoin" in plan, plan
+        assert written[0][0].count() == registry._raw_trx(spark, SF0001).count() < B.book(spark, SF0001).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
